@@ -37,7 +37,7 @@ class RandomFourier:
     weights: np.ndarray   # (n_features, D)
     offsets: np.ndarray   # (D,)
 
-    def exprs(self, prefix: str) -> list[Column]:
+    def columns(self) -> list[Column]:
         d = self.weights.shape[1]
         amp = math.sqrt(2.0 / d)
         out = []
@@ -45,9 +45,12 @@ class RandomFourier:
             z = F.lit(float(self.offsets[j]))
             for i, c in enumerate(self.cols):
                 z = z + F.col(c).cast("double") * F.lit(float(self.weights[i, j]))
-            out.append((F.lit(amp) * F.cos(z)).alias(f"{prefix}{j}"))
+            out.append(F.lit(amp) * F.cos(z))
         return out
 
+    def exprs(self, prefix: str) -> list[Column]:
+        return [c.alias(f"{prefix}{j}") for j, c in enumerate(self.columns())]
+
 
 def fit_random_fourier(cols: Sequence[str], gamma: float, n_components: int = RFF_COMPONENTS,
                        seed: int = SEED) -> RandomFourier:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_profile  # noqa: F401
+from . import q_features, q_profile  # noqa: F401
 from .registry import HEADLINE, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "HEADLINE"]
