@@ -67,6 +67,12 @@ def value_range(df: DataFrame, cols: Sequence[str]) -> tuple[float | None, float
     return (min(lows) if lows else None, max(highs) if highs else None)
 
 
+def range_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """AG13 as a one-row DataFrame ``lo, hi``."""
+    return df.agg(F.least(*[F.min(F.col(c).cast("double")) for c in cols]).alias("lo"),
+                  F.greatest(*[F.max(F.col(c).cast("double")) for c in cols]).alias("hi"))
+
+
 def histogram(df: DataFrame, col: str, bins: int = HIST_BINS,
               lo: float | None = None, hi: float | None = None) -> DataFrame:
     """AG14: ``bin (1-based), lo, hi, n`` for every bin, empty bins included.
