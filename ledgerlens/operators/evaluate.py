@@ -93,15 +93,16 @@ def importance_table(spark, names: Sequence[str], values: Sequence[float],
     return df.orderBy(F.col("importance").desc(), F.col("feature").asc())
 
 
-def permute_column(df: DataFrame, col: str, key: Sequence[str], salt: int,
-                   buckets: int) -> DataFrame:
-    """EV4 building block: a seeded permutation of one column, distributed.
+def permutation_partners(df: DataFrame, cols: Sequence[str], key: Sequence[str], salt: int,
+                         buckets: int) -> DataFrame:
+    """EV4 building block: a seeded, distributed permutation of whole rows.
 
     Rows are hashed into ``buckets``; inside a bucket, the i-th row by one
-    hash order receives the value of the i-th row by another hash order.  A
-    bijection per bucket, so the column's multiset is unchanged.  The number
-    of buckets grows with the data (``bucket_count``), each bucket is spread
-    by a hash of the unique key, so no bucket is hot.
+    hash order is paired with the i-th row by another hash order and gets its
+    values as ``_p_{col}``.  A bijection per bucket, so each column's
+    multiset is unchanged.  The number of buckets grows with the data
+    (``bucket_count``) and buckets are spread by a hash of the unique key, so
+    no window ever holds a hot group.
     """
     from pyspark.sql import Window
 
@@ -111,10 +112,19 @@ def permute_column(df: DataFrame, col: str, key: Sequence[str], salt: int,
     base = df.withColumn("_pb", b)
     w_a = Window.partitionBy("_pb").orderBy(stable_hash(key, 104729 + salt), *key)
     w_b = Window.partitionBy("_pb").orderBy(stable_hash(key, 1299709 + salt), *key)
-    rows = base.withColumn("_pi", F.row_number().over(w_a)).drop(col)
-    vals = base.select("_pb", F.row_number().over(w_b).alias("_pi"), F.col(col))
+    rows = base.withColumn("_pi", F.row_number().over(w_a))
+    vals = base.select("_pb", F.row_number().over(w_b).alias("_pi"),
+                       *[F.col(c).alias(f"_p_{c}") for c in cols])
     return rows.join(vals, ["_pb", "_pi"], "inner").drop("_pb", "_pi")
 
 
+def permuted_variants(partnered: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One copy of each row per column, with only that column taken from the partner."""
+    variants = [F.struct(F.lit(c).alias("feature"),
+                         *[(F.col(f"_p_{x}") if x == c else F.col(x)).alias(x) for x in cols])
+                for c in cols]
+    return partnered.select(*keep, F.explode(F.array(*variants)).alias("_v")).select(*keep, "_v.*")
+
+
 def bucket_count(n_rows: int, rows_per_bucket: int = PERM_BUCKET_ROWS) -> int:
     return max(1, -(-n_rows // rows_per_bucket))

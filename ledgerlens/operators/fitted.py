@@ -124,29 +124,38 @@ class KMeansFeatures:
 
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEANS_RESTARTS,
-               seed: int = SEED, max_iter: int = 300, tol: float = 1e-4) -> KMeansFeatures:
+               seed: int = SEED, max_iter: int = 300, tol: float = 1e-4,
+               parallelism: int = 4) -> KMeansFeatures:
     """FT4: standardise, fit ``restarts`` Spark KMeans models, keep the lowest cost.
 
+    Restarts are independent Spark jobs submitted concurrently (like
+    ``CrossValidator(parallelism=)``); ties in cost go to the lowest seed.
     Centroids are put in canonical (lexicographic) order so labels do not
     depend on initialisation.  The assembled input is persisted once for all
     restarts and released afterwards.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     cols = list(cols)
     means, stds = standardize_exprs(df, cols)
     scaled = df.select(*_scaled(cols, means, stds))
     vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip") \
         .transform(scaled).select("_features").persist()
+
+    def one(r: int):
+        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol,
+                       featuresCol="_features").fit(vec)
+        return model.summary.trainingCost, r, model
+
     try:
-        best = None
-        for r in range(restarts):
-            model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol,
-                           featuresCol="_features").fit(vec)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
+        vec.count()
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
+            fits = list(pool.map(one, range(restarts)))
+        cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
+        best = (cost, model)
     finally:
         vec.unpersist()
-    centers = np.array([c.toArray() for c in best[1].clusterCenters()])
+    centers = np.array([np.asarray(c, dtype=float) for c in best[1].clusterCenters()])
     order = np.lexsort(centers.T[::-1])
     return KMeansFeatures(cols, means, stds, centers[order], float(best[0]))
 

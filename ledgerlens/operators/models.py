@@ -99,10 +99,9 @@ def boosted(params: dict | None = None, features: str = "features", label: str =
             tol: float = 0.01) -> GBTRegressor:
     """MD5 / MD6: gradient-boosted trees; TN3 early stop via ``validationIndicatorCol``."""
     p = map_params(params or {}, boosted=True)
-    gbt = GBTRegressor(featuresCol=features, labelCol=label, seed=seed, **p)
     if validation_col:
-        gbt.setValidationIndicatorCol(validation_col).setValidationTol(tol)
-    return gbt
+        p.update(validationIndicatorCol=validation_col, validationTol=tol)
+    return GBTRegressor(featuresCol=features, labelCol=label, seed=seed, **p)
 
 
 @dataclass

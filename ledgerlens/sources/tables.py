@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookup import join_small
+from ..roles import Roles
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 FACT_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+# roles of the bound fact table (see README for the mapping)
+FACT_ROLES = Roles(key=FACT_KEY)
 
 
 def table_path(sf_dir: str, name: str) -> str:
