@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Fixed values of the reference's feature set.
 RFF_GAMMAS = (0.1, 0.5, 1.0, 5.0)
 RFF_COMPONENTS = 5
@@ -24,6 +25,7 @@ KMEANS_KS = (3, 5, 8)
 KMEANS_RESTARTS = 10
 PCA_MAX_COMPONENTS = 10
 SEED = 42
+_LAST_ITERATIONS = [0]   # passes used by the last fit_kmeans_many (diagnostics)
 
 
 # FT3 ---------------------------------------------------------------------
@@ -124,40 +126,138 @@ class KMeansFeatures:
 
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEANS_RESTARTS,
-               seed: int = SEED, max_iter: int = 300, tol: float = 1e-4,
-               parallelism: int = 4) -> KMeansFeatures:
-    """FT4: standardise, fit ``restarts`` Spark KMeans models, keep the lowest cost.
-
-    Restarts are independent Spark jobs submitted concurrently (like
-    ``CrossValidator(parallelism=)``); ties in cost go to the lowest seed.
-    Centroids are put in canonical (lexicographic) order so labels do not
-    depend on initialisation.  The assembled input is persisted once for all
-    restarts and released afterwards.
-    """
-    from concurrent.futures import ThreadPoolExecutor
+               seed: int = SEED, max_iter: int = 300, tol: float = 1e-4) -> KMeansFeatures:
+    """FT4 for one k (see ``fit_kmeans_many``)."""
+    return fit_kmeans_many(df, cols, [k], restarts, seed, max_iter, tol)[0]
+
 
+def _init_centers(vec: DataFrame, cols: list[str], n: int, sets: list[tuple[int, int]],
+                  seed: int) -> list[np.ndarray]:
+    """Initial centres per (k, restart): the k rows with the smallest seeded hash.
+
+    One pass keeps rows whose hash falls under a threshold sized for ~20 k
+    candidates per set (a bounded sample for the driver); the k smallest are
+    taken from those.  Falls back to all rows only when too few qualify.
+    """
+    kmax = max(k for k, _ in sets)
+    frac = min(1.0, 20.0 * kmax / max(n, 1))
+    row_hash = F.xxhash64(*[F.col(c) for c in cols])
+    hashes = [F.abs(F.xxhash64(row_hash, F.lit(seed + 7919 * i))).cast("double")
+              / F.lit(float(2 ** 63)) for i in range(len(sets))]
+    for attempt in range(2):
+        cond = None
+        for h in hashes:
+            t = h < F.lit(frac)
+            cond = t if cond is None else cond | t
+        cand = vec.select(*cols, *[h.alias(f"_h{i}") for i, h in enumerate(hashes)]).where(cond)
+        rows = cand.collect()
+        rows = [r for r in rows if all(r[c] is not None for c in cols)]
+        pts = np.array([[r[c] for c in cols] for r in rows], dtype=float)
+        hs = np.array([[r[f"_h{i}"] for i in range(len(sets))] for r in rows], dtype=float)
+        out = []
+        ok = True
+        for i, (k, _) in enumerate(sets):
+            if len(rows) == 0:
+                ok = False
+                break
+            order = np.argsort(hs[:, i], kind="stable")
+            chosen = pts[order[hs[order, i] < frac]][:k]
+            if len(chosen) < k:
+                ok = False
+                break
+            out.append(chosen.copy())
+        if ok:
+            return out
+        frac = 1.0
+    raise ValueError("fewer rows than clusters")
+
+
+def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
+                    restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300,
+                    tol: float = 1e-4) -> list[KMeansFeatures]:
+    """FT4: Lloyd's algorithm for every k and every restart in the SAME passes.
+
+    Inputs are standardised (population std).  Each iteration is one Spark job:
+    a ``mapInPandas`` computes, per Arrow batch and with numpy, the nearest
+    centre of every row for all ``len(ks) * restarts`` centre sets and emits
+    only per-(set, cluster) partial sums; a ``groupBy`` adds them up.  So the
+    data is read ~``max_iter_used`` times in total instead of once per
+    iteration per restart per k.  Convergence per set: squared centre shift
+    <= ``tol`` x mean feature variance; an empty cluster keeps its centre.
+    The best restart per k is the lowest inertia (ties -> lowest seed);
+    centroids are put in canonical (lexicographic) order.
+    """
     cols = list(cols)
+    d = len(cols)
     means, stds = standardize_exprs(df, cols)
-    scaled = df.select(*_scaled(cols, means, stds))
-    vec = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="skip") \
-        .transform(scaled).select("_features").persist()
-
-    def one(r: int):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol,
-                       featuresCol="_features").fit(vec)
-        return model.summary.trainingCost, r, model
-
-    try:
-        vec.count()
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
-            fits = list(pool.map(one, range(restarts)))
-        cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
-        best = (cost, model)
-    finally:
-        vec.unpersist()
-    centers = np.array([np.asarray(c, dtype=float) for c in best[1].clusterCenters()])
-    order = np.lexsort(centers.T[::-1])
-    return KMeansFeatures(cols, means, stds, centers[order], float(best[0]))
+    scaled = df.select(*[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(f"x{i}")
+                         for i, (c, m, s) in enumerate(zip(cols, means, stds))])
+    xcols = [f"x{i}" for i in range(d)]
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if scaled.rdd.getNumPartitions() < par:
+        scaled = scaled.repartition(par)   # every pass is CPU work: use all cores
+    vec = cut_lineage(scaled)
+    n = vec.count()
+    sets = [(k, r) for k in ks for r in range(restarts)]
+    centers = _init_centers(vec, xcols, n, sets, seed)
+    var = vec.agg(*[F.var_pop(c) for c in xcols]).first()
+    threshold = tol * float(np.mean([v or 0.0 for v in var]))
+    active = [True] * len(sets)
+    schema = "s int, j int, n long, sse double, " + ", ".join(f"c{i} double" for i in range(d))
+    costs = [float("inf")] * len(sets)
+    for self_iter in range(max_iter):
+        live = [i for i, a in enumerate(active) if a]
+        if not live:
+            break
+        snapshot = {i: centers[i] for i in live}
+
+        def step(batches, snapshot=snapshot):
+            import pandas as pd
+            for pdf in batches:
+                x = pdf[xcols].to_numpy(dtype=float)
+                x = x[~np.isnan(x).any(axis=1)]     # rows with a missing input are not fitted
+                if len(x) == 0:
+                    continue
+                xx = (x * x).sum(axis=1)
+                out = []
+                for s_id, cen in snapshot.items():
+                    dist = xx[:, None] - 2 * x @ cen.T + (cen * cen).sum(axis=1)[None, :]
+                    lab = dist.argmin(axis=1)
+                    best = np.maximum(dist[np.arange(len(x)), lab], 0.0)
+                    kk = cen.shape[0]
+                    onehot = np.zeros((len(x), kk))
+                    onehot[np.arange(len(x)), lab] = 1.0
+                    sums = onehot.T @ x
+                    cnt = np.bincount(lab, minlength=kk)
+                    sse = np.bincount(lab, weights=best, minlength=kk)
+                    for j in range(kk):
+                        out.append((s_id, j, int(cnt[j]), float(sse[j]), *sums[j]))
+                yield pd.DataFrame(out, columns=["s", "j", "n", "sse", *[f"c{i}" for i in range(d)]])
+
+        agg = (vec.mapInPandas(step, schema).groupBy("s", "j")
+                  .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"),
+                       *[F.sum(f"c{i}").alias(f"c{i}") for i in range(d)]).collect())
+        new = {i: centers[i].copy() for i in live}
+        sse = {i: 0.0 for i in live}
+        for r in agg:
+            if r["n"] > 0:
+                new[r["s"]][r["j"]] = np.array([r[f"c{i}"] for i in range(d)]) / r["n"]
+            sse[r["s"]] += r["sse"]
+        for i in live:
+            costs[i] = sse[i]
+            shift = float(((new[i] - centers[i]) ** 2).sum())
+            centers[i] = new[i]
+            if shift <= threshold:
+                active[i] = False
+    results = []
+    _LAST_ITERATIONS[0] = self_iter + 1
+    for k in ks:
+        idx = [i for i, (kk, _) in enumerate(sets) if kk == k]
+        best = min(idx, key=lambda i: (costs[i], sets[i][1]))
+        cen = centers[best]
+        order = np.lexsort(cen.T[::-1])
+        results.append(KMeansFeatures(cols, means, stds, cen[order], float(costs[best])))
+    return results
 
 
 # FT6 -----------------------------------------------------------------------

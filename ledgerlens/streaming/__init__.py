@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming, stateful or event-time operator, so none is
+provided here.  The row-level feature expressions (``functions.scalar``) and
+fitted lookup joins (``operators.lookup``) are plain projections and
+stream-static joins, so they apply unchanged to a ``readStream`` DataFrame.
+"""
