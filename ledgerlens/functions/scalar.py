@@ -124,9 +124,13 @@ def qcut_bin(x, edges: Sequence[float]) -> Column:
     """
     if len(edges) < 2:
         return F.lit(None).cast("int")
-    arr = F.array(*[F.lit(float(e)) for e in edges])
     v = _d(x)
-    below = F.size(F.filter(arr, lambda e: e < v))
+    # count of edges strictly below v as a sum of comparisons: plain
+    # arithmetic that stays in whole-stage codegen (edges <= q + 1 literals)
+    below = None
+    for e in edges:
+        t = (v > F.lit(float(e))).cast("int")
+        below = t if below is None else below + t
     bin_ = F.greatest(below - 1, F.lit(0))
     inside = (v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1])))
     return F.when(inside, bin_).cast("int")

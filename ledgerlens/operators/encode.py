@@ -152,10 +152,10 @@ def fit_frequency_encoder(df: DataFrame, cols: Sequence[str],
                           suffix: str = "_freq") -> FrequencyEncoderModel:
     """EN2: relative frequency of each value (nulls excluded; null -> null)."""
     tables = {}
+    totals = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
     for c in cols:
-        nonnull = df.where(F.col(c).isNotNull())
-        total = nonnull.count()
-        counts = nonnull.groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        total = totals[c]
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
         tables[c] = Lookup.materialise(counts.select(
             c, (F.col("_n") / F.lit(float(total))).alias("_freq")))
     return FrequencyEncoderModel(tables, suffix)

@@ -5,8 +5,8 @@ Plan shape, per key:
 * one ``groupBy(key)`` computing mean / sample std / min / max / count of all
   columns (partial aggregation: a key with a third of all rows is combined
   map-side);
-* one ranked pass for the exact medians of all columns (long form);
-* one ranked pass for the 'min' ranks of all columns (WN1);
+* one ranked pass over the long form ``(key, column, value)`` that yields
+  both the exact medians and the 'min' ranks (WN1) of all columns;
 * the group table is checkpointed, counted and joined back (broadcast only
   under the limit).  Null keys get null statistics (pandas drops NaN groups).
 
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .encode import fold_of
 from .lookup import Lookup
-from .order_stats import _N, _RANK0, group_quantiles, ranked_histogram, unpivot_numeric
+from .order_stats import (_RANK0, group_quantiles, quantiles_from_ranked,
+                          ranked_histogram, unpivot_numeric)
 
 ALL_STATS = ("mean", "std", "min", "max", "median")
 
@@ -31,10 +32,8 @@ def _name(stat: str, col: str, key: str, template: str) -> str:
     return template.format(stat=stat, col=col, key=key)
 
 
-def group_table(df: DataFrame, key: str, cols: Sequence[str],
-                stats: Sequence[str] = ALL_STATS, method: str = "exact",
-                template: str = "{stat}_{col}_by_{key}") -> DataFrame:
-    """One row per non-null key with the requested statistics of every column."""
+def _moments(df: DataFrame, key: str, cols: Sequence[str], stats: Sequence[str],
+             template: str) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_gn")]
     for c in cols:
         x = F.col(c).cast("double")
@@ -47,50 +46,62 @@ def group_table(df: DataFrame, key: str, cols: Sequence[str],
             aggs.append(F.min(x).alias(_name("min", c, key, template)))
         if "max" in stats:
             aggs.append(F.max(x).alias(_name("max", c, key, template)))
-    base = df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+
+
+def _medians_wide(med: DataFrame, key: str, cols: Sequence[str], template: str) -> DataFrame:
+    wide = med.groupBy(key).pivot("_gcol", list(cols)).agg(F.first("_gmed"))
+    return wide.select(key, *[F.col(c).alias(_name("median", c, key, template)) for c in cols])
+
+
+def group_table(df: DataFrame, key: str, cols: Sequence[str],
+                stats: Sequence[str] = ALL_STATS, method: str = "exact",
+                template: str = "{stat}_{col}_by_{key}") -> DataFrame:
+    """One row per non-null key with the requested statistics of every column."""
+    base = _moments(df, key, cols, stats, template)
     if "median" in stats:
         long = unpivot_numeric(df.where(F.col(key).isNotNull()), cols, [key], "_gcol", "_gval")
         med = group_quantiles(long, "_gval", [0.5], by=[key, "_gcol"], names=["_gmed"],
                               method=method)
-        wide = med.groupBy(key).pivot("_gcol", list(cols)).agg(F.first("_gmed"))
-        wide = wide.select(key, *[F.col(c).alias(_name("median", c, key, template)) for c in cols])
-        base = base.join(wide, key, "left")
+        base = base.join(_medians_wide(med, key, cols, template), key, "left")
     return base
 
 
-def rank_pct_table(df: DataFrame, key: str, cols: Sequence[str]) -> dict[str, Lookup]:
-    """WN1 lookups ``(key, value) -> rank_min`` for every column, one ranked pass."""
-    long = unpivot_numeric(df.where(F.col(key).isNotNull()), cols, [key], "_gcol", "_gval")
-    ranked = Lookup.materialise(ranked_histogram(long, "_gval", [key, "_gcol"]).select(
-        key, "_gcol", "_gval", (F.col(_RANK0) + 1).alias("_grank")))
-    out = {}
-    for c in cols:
-        part = ranked.df.where(F.col("_gcol") == c).select(
-            key, F.col("_gval").alias("_gv"), "_grank")
-        out[c] = Lookup(part, ranked.rows)  # upper bound of this column's share
-    return out
-
-
 def add_group_stats(df: DataFrame, key: str, cols: Sequence[str],
                     stats: Sequence[str] = ALL_STATS, dev: bool = True,
                     rank_pct: bool = True, method: str = "exact",
                     template: str = "{stat}_{col}_by_{key}") -> DataFrame:
-    """AG5-AG7 + WN1 + WN2 for one key: adds the reference's per-row columns."""
-    table = Lookup.materialise(group_table(df, key, cols, stats, method, template))
-    out = table.join_to(df, key, "left")
-    extra = []
-    if dev:
-        for c in cols:
-            extra.append((F.col(c).cast("double") - F.col(_name("mean", c, key, template)))
-                         .alias(_name("dev_from_mean", c, key, template)))
+    """AG5-AG7 + WN1 + WN2 for one key: adds the reference's per-row columns.
+
+    Medians and 'min' ranks of all columns come from ONE ranked pass over the
+    long form ``(key, column, value)``; moments from one grouped aggregate.
+    """
+    cols = list(cols)
+    need_rank = rank_pct or ("median" in stats and method == "exact")
+    ranked = None
+    if need_rank:
+        long = unpivot_numeric(df.where(F.col(key).isNotNull()), cols, [key], "_gcol", "_gval")
+        ranked = Lookup.materialise(ranked_histogram(long, "_gval", [key, "_gcol"]))
+    table = _moments(df, key, cols, stats, template)
+    if "median" in stats:
+        if method == "exact":
+            med = quantiles_from_ranked(ranked.df, "_gval", [0.5], [key, "_gcol"], ["_gmed"])
+        else:
+            long = unpivot_numeric(df.where(F.col(key).isNotNull()), cols, [key], "_gcol", "_gval")
+            med = group_quantiles(long, "_gval", [0.5], [key, "_gcol"], ["_gmed"], method=method)
+        table = table.join(_medians_wide(med, key, cols, template), key, "left")
+    out = Lookup.materialise(table).join_to(df, key, "left")
     if rank_pct:
-        ranks = rank_pct_table(df, key, cols)
         for c in cols:
-            lut = ranks[c]
-            out = lut.join_to(out.withColumn("_gv", F.col(c).cast("double")), [key, "_gv"], "left")
+            part = ranked.df.where(F.col("_gcol") == c).select(
+                key, F.col("_gval").alias("_gv"), (F.col(_RANK0) + 1).alias("_grank"))
+            out = Lookup(part, ranked.rows).join_to(
+                out.withColumn("_gv", F.col(c).cast("double")), [key, "_gv"], "left")
             out = out.withColumn(_name("rank_pct", c, key, template),
                                  F.col("_grank") / F.col("_gn")).drop("_gv", "_grank")
-    out = out.select("*", *extra) if extra else out
+    if dev:
+        out = out.select("*", *[(F.col(c).cast("double") - F.col(_name("mean", c, key, template)))
+                                .alias(_name("dev_from_mean", c, key, template)) for c in cols])
     return out.drop("_gn")
 
 

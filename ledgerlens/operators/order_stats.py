@@ -93,24 +93,11 @@ def _contains(rank: Column) -> Column:
     return (F.col(_RANK0) <= rank) & (rank < F.col(_RANK0) + F.col(_C))
 
 
-def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = (), names: Sequence[str] | None = None,
-                    method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """Linear-interpolated quantiles (numpy/pandas default) per group.
-
-    Returns ``by...`` plus one DOUBLE column per probability.
-    """
+def quantiles_from_ranked(ranked: DataFrame, value: str, probs: Sequence[float],
+                          by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """Linear-interpolated quantiles from a ``ranked_histogram`` (small output)."""
     by = list(by)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    if len(names) != len(probs):
-        raise ValueError("one name per probability")
-    if method == "approx":
-        arr = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
-        out = df.groupBy(*by).agg(arr.alias("_oq"))
-        return out.select(*by, *[F.col("_oq")[i].alias(n) for i, n in enumerate(names)])
-    if method != "exact":
-        raise ValueError("method must be 'exact' or 'approx'")
-    ranked = ranked_histogram(df, value, by)
     pos = [(F.col(_N) - 1) * F.lit(float(p)) for p in probs]
     lo = [F.floor(h) for h in pos]
     hi = [F.ceil(h) for h in pos]
@@ -129,6 +116,26 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         .alias(names[i]) for i in range(len(probs))])
 
 
+def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
+                    by: Sequence[str] = (), names: Sequence[str] | None = None,
+                    method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Linear-interpolated quantiles (numpy/pandas default) per group.
+
+    Returns ``by...`` plus one DOUBLE column per probability.
+    """
+    by = list(by)
+    names = list(names) if names else [f"q{i}" for i in range(len(probs))]
+    if len(names) != len(probs):
+        raise ValueError("one name per probability")
+    if method == "approx":
+        arr = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
+        out = df.groupBy(*by).agg(arr.alias("_oq"))
+        return out.select(*by, *[F.col("_oq")[i].alias(n) for i, n in enumerate(names)])
+    if method != "exact":
+        raise ValueError("method must be 'exact' or 'approx'")
+    return quantiles_from_ranked(ranked_histogram(df, value, by), value, probs, by, names)
+
+
 def unpivot_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     name_col: str = "column", value_col: str = "value") -> DataFrame:
     """Long form ``(by..., column, value DOUBLE)`` of several numeric columns."""

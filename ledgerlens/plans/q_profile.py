@@ -32,7 +32,7 @@ SELECT min(year) AS first_year, max(year) AS last_year,
        {srnd('(arg_max(total, year) - arg_min(total, year)) / arg_min(total, year) * 100')} AS pct_change
 FROM t""")
 def r7_change(spark: SparkSession, sf: str) -> DataFrame:
-    ch = T.first_last_change(T.yearly_trend(facts(spark, sf), "year", "amount"))
+    ch = T.first_last_change(T.yearly_trend(facts(spark, sf, materialize=True), "year", "amount"))
     return ch.select("first_year", "last_year", rnd("first_total", 2).alias("first_total"),
                      rnd("last_total", 2).alias("last_total"), rnd("pct_change").alias("pct_change"))
 
@@ -43,7 +43,7 @@ SELECT month, {srnd('average')} AS average, {srnd('average - mu')} AS dev_from_m
        row_number() OVER (ORDER BY average DESC, month ASC) <= 3 AS is_peak
 FROM m, o""")
 def r8_monthly_avg(spark: SparkSession, sf: str) -> DataFrame:
-    m = T.monthly_profile(facts(spark, sf), "month", "amount")
+    m = T.monthly_profile(facts(spark, sf, materialize=True), "month", "amount")
     return m.select("month", rnd("average").alias("average"),
                     rnd("dev_from_mean").alias("dev_from_mean"), "is_peak")
 
@@ -56,7 +56,7 @@ SELECT CAST(row_number() OVER (ORDER BY n DESC, category) AS BIGINT) AS position
        {srnd('CAST(sum(n) OVER (ORDER BY n DESC, category ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) * 100.0 / total')} AS cum_pct
 FROM h, t""")
 def r9_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    c = T.coverage(facts(spark, sf), "legal_basis")
+    c = T.coverage(facts(spark, sf, materialize=True), "legal_basis")
     return c.select("position", "category", "n", rnd("pct").alias("pct"), rnd("cum_pct").alias("cum_pct"))
 
 
@@ -97,7 +97,7 @@ def r17_history(spark: SparkSession, sf: str) -> DataFrame:
 @query("r18_risk", f"""{W}, o AS (SELECT avg(amount) AS mu FROM facts)
 SELECT sector, {srnd('avg(amount) / max(mu)')} AS risk FROM facts, o GROUP BY sector""")
 def r18_risk(spark: SparkSession, sf: str) -> DataFrame:
-    r = T.risk_score(facts(spark, sf), "sector", "amount")
+    r = T.risk_score(facts(spark, sf, materialize=True), "sector", "amount")
     return r.select("sector", rnd("risk").alias("risk"))
 
 
@@ -113,7 +113,7 @@ def _reconcile_sql() -> str:
 
 @query("r21_reconcile", _reconcile_sql())
 def r21_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    return P.reconcile(facts(spark, sf), _DIMS)
+    return P.reconcile(facts(spark, sf, materialize=True), _DIMS)
 
 
 @query("r22_uplift", f"""{W}

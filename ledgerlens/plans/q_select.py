@@ -88,7 +88,7 @@ PRUNE = ("fines", "taxpayers", "fines_squared", "fines_x_taxpayers", "amount", "
 
 
 def _prune_frame(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf)
+    f = facts(spark, sf, materialize=True)
     return f.select("fines", "taxpayers", (F.col("fines") * F.col("fines")).alias("fines_squared"),
                     (F.col("fines") * F.col("taxpayers")).alias("fines_x_taxpayers"),
                     "amount", "year", "month")

@@ -63,6 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint directory."""
+    """Reliable checkpoint into the session's checkpoint directory (eager: the
+    plan runs once and its rows are written; the result reads only the files)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
