@@ -78,3 +78,30 @@ def test_entry_and_registry(spark):
     assert out.count() > 0 and out.columns == ["year", "total", "average", "cases"]
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 70
+
+
+def test_combine_files_and_registry(spark, tmpdir_path):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from ledgerlens.plans.pipeline import combine_files, evaluate_registry
+    from ledgerlens.sources import artifacts as A
+
+    a = spark.createDataFrame([(1, "x"), (None, None)], "a int, b string")
+    b = spark.createDataFrame([(2, "y")], "a int, c string")
+    IO.write_csv(a, os.path.join(tmpdir_path, "in1"))
+    IO.write_csv(b, os.path.join(tmpdir_path, "in2"))
+    out = combine_files(spark, [os.path.join(tmpdir_path, "in*/*.csv")], os.path.join(tmpdir_path, "out"))
+    assert out.count() == 2 and sorted(out.columns) == ["a", "b", "c"]
+    with open([os.path.join(tmpdir_path, "out", f) for f in os.listdir(os.path.join(tmpdir_path, "out"))
+               if f.endswith(".csv")][0]) as fh:
+        assert fh.readline().startswith('"')
+
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(60).selectExpr("cast(id as double) x", "cast(id * 2 as double) label"))
+    reg = []
+    for name, trees in (("small", 3), ("big", 10)):
+        m = RandomForestRegressor(numTrees=trees, maxDepth=4, seed=1).fit(data)
+        reg.append((name, "random_forest", A.save_model(m, os.path.join(tmpdir_path, name))))
+    metrics, best = evaluate_registry(reg, data)
+    assert metrics.count() == 2 and best.count() == 1
