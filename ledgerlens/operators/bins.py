@@ -89,6 +89,7 @@ def histogram(df: DataFrame, col: str, bins: int = HIST_BINS,
                 .groupBy(width_bin(col, lo, hi, bins).alias("bin"))
                 .agg(F.count(F.lit(1)).alias("_n")))
     grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    # ``counts`` has at most ``bins`` rows: a proven bound
     return grid.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lo"),

@@ -133,40 +133,44 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEAN
 
 def _init_centers(vec: DataFrame, cols: list[str], n: int, sets: list[tuple[int, int]],
                   seed: int) -> list[np.ndarray]:
-    """Initial centres per (k, restart): the k rows with the smallest seeded hash.
+    """Initial centres per (k, restart): k-means++ seeding inside a candidate pool.
 
-    One pass keeps rows whose hash falls under a threshold sized for ~20 k
-    candidates per set (a bounded sample for the driver); the k smallest are
-    taken from those.  Falls back to all rows only when too few qualify.
+    One pass keeps, for every set, the rows whose seeded hash falls under a
+    threshold sized for ~20 k candidates (a bounded sample for the driver);
+    k-means++ (D^2 sampling, seeded per set) then picks the k centres from
+    that pool.  Falls back to all rows only when too few qualify (tiny data).
     """
     kmax = max(k for k, _ in sets)
     frac = min(1.0, 20.0 * kmax / max(n, 1))
     row_hash = F.xxhash64(*[F.col(c) for c in cols])
     hashes = [F.abs(F.xxhash64(row_hash, F.lit(seed + 7919 * i))).cast("double")
               / F.lit(float(2 ** 63)) for i in range(len(sets))]
-    for attempt in range(2):
+    for _ in range(2):
         cond = None
         for h in hashes:
             t = h < F.lit(frac)
             cond = t if cond is None else cond | t
         cand = vec.select(*cols, *[h.alias(f"_h{i}") for i, h in enumerate(hashes)]).where(cond)
-        rows = cand.collect()
-        rows = [r for r in rows if all(r[c] is not None for c in cols)]
-        pts = np.array([[r[c] for c in cols] for r in rows], dtype=float)
-        hs = np.array([[r[f"_h{i}"] for i in range(len(sets))] for r in rows], dtype=float)
+        rows = [r for r in cand.collect() if all(r[c] is not None for c in cols)]
+        pts = np.array([[r[c] for c in cols] for r in rows], dtype=float).reshape(len(rows), len(cols))
+        hs = np.array([[r[f"_h{i}"] for i in range(len(sets))] for r in rows],
+                      dtype=float).reshape(len(rows), len(sets))
         out = []
-        ok = True
         for i, (k, _) in enumerate(sets):
-            if len(rows) == 0:
-                ok = False
+            pool = pts[np.argsort(hs[:, i], kind="stable")]
+            pool = pool[np.sort(hs[:, i])[: len(pool)] < frac]
+            if len(pool) < k:
                 break
-            order = np.argsort(hs[:, i], kind="stable")
-            chosen = pts[order[hs[order, i] < frac]][:k]
-            if len(chosen) < k:
-                ok = False
-                break
-            out.append(chosen.copy())
-        if ok:
+            rng = np.random.RandomState(seed + i)
+            chosen = [pool[0]]
+            d2 = ((pool - pool[0]) ** 2).sum(axis=1)
+            for _j in range(1, k):
+                total = d2.sum()
+                idx = int(rng.choice(len(pool), p=d2 / total)) if total > 0 else _j
+                chosen.append(pool[idx])
+                d2 = np.minimum(d2, ((pool - pool[idx]) ** 2).sum(axis=1))
+            out.append(np.array(chosen))
+        if len(out) == len(sets):
             return out
         frac = 1.0
     raise ValueError("fewer rows than clusters")

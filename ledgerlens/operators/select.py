@@ -98,6 +98,7 @@ def prune_correlated(df: DataFrame, cols: Sequence[str],
              .select(F.col("i").alias("position")).distinct())
     spark = df.sparkSession
     feats = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, feature string")
+    # ``drop`` has at most one row per input column: a proven bound
     return feats.join(F.broadcast(drop.withColumn("_d", F.lit(1))), "position", "left").select(
         "feature", "position", F.col("_d").isNull().alias("kept"))
 

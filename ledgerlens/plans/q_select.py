@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as EV
 from ..operators import select as SEL
 from ..operators.bins import histogram, kde, range_table
+from ..operators.lookup import Lookup
 from ..operators.split import holdout_flag, kfold, stratified_split
 from ..sources.files import drop_empty, union_by_name
 from ..sources.tables import FACTS_SQL, facts, read_table
@@ -185,8 +186,9 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     mu = train.agg(F.avg("y")).first()[0]
     out = []
     for order, (name, key) in enumerate((("type_mean", "event_type"), ("hour_mean", "hour"))):
-        means = train.groupBy(key).agg(F.avg("y").alias("_m"))
-        p = ev.join(F.broadcast(means), key, "left").select(
+        # one row per key value: broadcast only behind a counted size
+        means = Lookup.materialise(train.groupBy(key).agg(F.avg("y").alias("_m")))
+        p = means.join_to(ev, key, "left").select(
             F.lit(name).alias("model"), F.lit(order).alias("order"), "split", "event_id", "y",
             F.coalesce(F.col("_m"), F.lit(mu)).alias("p"))
         out.append(p)
