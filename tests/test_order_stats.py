@@ -50,3 +50,25 @@ def test_approx_method_close(spark):
     df = spark.range(1000).selectExpr("cast(id as double) as x")
     q = column_quantiles(df, ["x"], [0.5], method="approx")["x"][0]
     assert abs(q - 499.5) <= 2
+
+
+def test_hot_key_group_stats_and_split(spark):
+    # one key holds a third of all rows (and one value inside it is hot too)
+    from pyspark.sql import functions as F
+
+    from ledgerlens.operators.groupstats import add_group_stats
+    from ledgerlens.operators.split import stratified_split
+
+    df = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
+        F.when(F.col("id") % 6 == 0, F.lit(1.0)).otherwise((F.col("id") % 97).cast("double")).alias("v"))
+    pdf = df.toPandas()
+    out = add_group_stats(df, "k", ["v"]).toPandas().set_index("id").sort_index()
+    exp_med = pdf.groupby("k")["v"].transform("median")
+    exp_rank = pdf.groupby("k")["v"].transform(lambda x: x.rank(method="min") / len(x))
+    assert np.allclose(out["median_v_by_k"].values, exp_med.values)
+    assert np.allclose(out["rank_pct_v_by_k"].values, exp_rank.values)
+    s = stratified_split(df, "v", ["id"]).groupBy("stratum").agg(
+        F.count("*").alias("n"), F.sum("is_test").alias("t")).collect()
+    assert all(r["t"] == round(0.2 * r["n"]) for r in s)
