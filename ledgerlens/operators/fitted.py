@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, TaskContext
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +29,7 @@ KMEANS_KS = (3, 5, 8)
 KMEANS_RESTARTS = 10
 PCA_MAX_COMPONENTS = 10
 SEED = 42
+_REDUCE_BUCKETS = 512    # first level of the KMeans partial-sum tree
 _LAST_ITERATIONS = [0]   # passes used by the last fit_kmeans_many (diagnostics)
 
 
@@ -104,10 +109,13 @@ class KMeansFeatures:
     def k(self) -> int:
         return self.centers.shape[0]
 
-    def distance_exprs(self, prefix: str) -> list[Column]:
+    def _z_exprs(self) -> list[Column]:
+        return [(F.col(c).cast("double") - F.lit(m)) / F.lit(s)
+                for c, m, s in zip(self.cols, self.means, self.stds)]
+
+    def distance_exprs(self, prefix: str, z: list[Column] | None = None) -> list[Column]:
         """FT5: Euclidean distance to every centroid on the standardised inputs."""
-        z = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s)
-             for c, m, s in zip(self.cols, self.means, self.stds)]
+        z = z if z is not None else self._z_exprs()
         out = []
         for j in range(self.k):
             acc = None
@@ -118,11 +126,75 @@ class KMeansFeatures:
         return out
 
     def transform(self, df: DataFrame, label: str, dist_prefix: str) -> DataFrame:
-        with_d = df.select("*", *self.distance_exprs(dist_prefix))
-        dists = [F.col(f"{dist_prefix}{j}") for j in range(self.k)]
-        # FT4: label = argmin distance, first wins ties
+        return transform_kmeans(df, [(self, label, dist_prefix)])
+
+
+def _dense_udf(means: Sequence[float], stds: Sequence[float], mat: np.ndarray, kind: str):
+    """Arrow-batched numpy map of standardised inputs to a short DOUBLE array.
+
+    ``kind="dist"``: Euclidean distance to each row of ``mat`` (centres);
+    ``kind="project"``: ``z @ mat`` (loadings).  A row with a missing input
+    gets a null array, like the null-propagating column arithmetic.  Used for
+    wide dense algebra (tens of inputs x tens of outputs), where one literal
+    expression per output grows past what whole-stage codegen compiles.
+    """
+    mu = np.asarray(means, dtype=float)
+    sd = np.asarray(stds, dtype=float)
+    m = np.asarray(mat, dtype=float)
+
+    @F.pandas_udf("array<double>")
+    def apply(inputs: pd.DataFrame) -> pd.Series:
+        x = inputs.to_numpy(dtype=float, na_value=np.nan)
+        z = (x - mu) / sd
+        if kind == "dist":
+            out = np.empty((len(z), m.shape[0]))
+            for j in range(m.shape[0]):
+                diff = z - m[j]
+                out[:, j] = np.sqrt((diff * diff).sum(axis=1))
+        else:
+            out = z @ m
+        bad = np.isnan(x).any(axis=1)
+        return pd.Series([None if b else r for b, r in zip(bad, out.tolist())])
+
+    return apply
+
+
+def _inputs(cols: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+
+
+def transform_kmeans(df: DataFrame, models: list[tuple[KMeansFeatures, str, str]]) -> DataFrame:
+    """FT4/FT5 for several fitted models that share inputs.
+
+    Models fitted on the same standardised inputs share one batched distance
+    call (all their centres stacked); the distance columns are elements of
+    its array and the label (argmin, first wins ties) is a JVM expression.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for idx, (km, _, _) in enumerate(models):
+        groups.setdefault((tuple(km.cols), tuple(km.means), tuple(km.stds)), []).append(idx)
+    staged = df
+    dist_cols: list[Column] = []
+    tmp = []
+    for g, (key, idxs) in enumerate(groups.items()):
+        cols, means, stds = key
+        stacked = np.vstack([models[i][0].centers for i in idxs])
+        arr = f"_kmd{g}"
+        tmp.append(arr)
+        staged = staged.withColumn(
+            arr, _dense_udf(means, stds, stacked, "dist")(_inputs(cols)))
+        off = 0
+        for i in idxs:
+            km, _, prefix = models[i]
+            dist_cols += [F.col(arr)[off + j].alias(f"{prefix}{j}") for j in range(km.k)]
+            off += km.k
+    with_d = staged.select("*", *dist_cols)
+    labels = []
+    for km, label, prefix in models:
+        dists = [F.col(f"{prefix}{j}") for j in range(km.k)]
         best = F.array_position(F.array(*dists), F.least(*dists)) - 1
-        return with_d.withColumn(label, best.cast("int"))
+        labels.append(best.cast("int").alias(label))
+    return with_d.select("*", *labels).drop(*tmp)
 
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEANS_RESTARTS,
@@ -183,8 +255,10 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
 
     Inputs are standardised (population std).  Each iteration is one Spark job:
     a ``mapInPandas`` computes, per Arrow batch and with numpy, the nearest
-    centre of every row for all ``len(ks) * restarts`` centre sets and emits
-    only per-(set, cluster) partial sums; a ``groupBy`` adds them up.  So the
+    centre of every row for all ``len(ks) * restarts`` centre sets (one matmul
+    against the stacked centres) and emits one flat vector of per-(set,
+    cluster) partial sums per partition; a two-level ``Summarizer.sum`` tree
+    (partition-id buckets, then one row) adds them up.  So the
     data is read ~``max_iter_used`` times in total instead of once per
     iteration per restart per k.  Convergence per set: squared centre shift
     <= ``tol`` x mean feature variance; an empty cluster keeps its centre.
@@ -200,14 +274,15 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
     par = df.sparkSession.sparkContext.defaultParallelism
     if scaled.rdd.getNumPartitions() < par:
         scaled = scaled.repartition(par)   # every pass is CPU work: use all cores
-    vec = cut_lineage(scaled)
+    # reliable checkpoint (survives executor loss) plus an in-memory copy for
+    # the ~tens of passes; a lost cached block is re-read from the checkpoint
+    vec = cut_lineage(scaled).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     n = vec.count()
     sets = [(k, r) for k in ks for r in range(restarts)]
     centers = _init_centers(vec, xcols, n, sets, seed)
     var = vec.agg(*[F.var_pop(c) for c in xcols]).first()
     threshold = tol * float(np.mean([v or 0.0 for v in var]))
     active = [True] * len(sets)
-    schema = "s int, j int, n long, sse double, " + ", ".join(f"c{i} double" for i in range(d))
     costs = [float("inf")] * len(sets)
     for self_iter in range(max_iter):
         live = [i for i, a in enumerate(active) if a]
@@ -215,32 +290,57 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
             break
         snapshot = {i: centers[i] for i in live}
 
-        def step(batches, snapshot=snapshot):
+        live_sets = list(snapshot)
+        stacked = np.vstack([snapshot[i] for i in live_sets])          # (sum k, d)
+        sizes = [snapshot[i].shape[0] for i in live_sets]
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
+        set_of = np.repeat(np.arange(len(live_sets)), sizes)
+        j_of = np.concatenate([np.arange(k) for k in sizes])
+
+        def step(batches, stacked=stacked, sizes=sizes, starts=starts, set_of=set_of,
+                 j_of=j_of, live_sets=live_sets):
+            # all live centre sets in one matmul per batch; partial sums are
+            # accumulated over the whole partition and emitted once
             import pandas as pd
+            total_k = stacked.shape[0]
+            c2 = (stacked * stacked).sum(axis=1)
+            acc_sum = np.zeros((total_k, d))
+            acc_n = np.zeros(total_k)
+            acc_sse = np.zeros(total_k)
+            seen = False
             for pdf in batches:
                 x = pdf[xcols].to_numpy(dtype=float)
                 x = x[~np.isnan(x).any(axis=1)]     # rows with a missing input are not fitted
                 if len(x) == 0:
                     continue
+                seen = True
                 xx = (x * x).sum(axis=1)
-                out = []
-                for s_id, cen in snapshot.items():
-                    dist = xx[:, None] - 2 * x @ cen.T + (cen * cen).sum(axis=1)[None, :]
-                    lab = dist.argmin(axis=1)
-                    best = np.maximum(dist[np.arange(len(x)), lab], 0.0)
-                    kk = cen.shape[0]
-                    onehot = np.zeros((len(x), kk))
-                    onehot[np.arange(len(x)), lab] = 1.0
-                    sums = onehot.T @ x
-                    cnt = np.bincount(lab, minlength=kk)
-                    sse = np.bincount(lab, weights=best, minlength=kk)
-                    for j in range(kk):
-                        out.append((s_id, j, int(cnt[j]), float(sse[j]), *sums[j]))
-                yield pd.DataFrame(out, columns=["s", "j", "n", "sse", *[f"c{i}" for i in range(d)]])
-
-        agg = (vec.mapInPandas(step, schema).groupBy("s", "j")
-                  .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"),
-                       *[F.sum(f"c{i}").alias(f"c{i}") for i in range(d)]).collect())
+                dist = xx[:, None] - 2.0 * (x @ stacked.T) + c2[None, :]
+                rows = np.arange(len(x))
+                hit = np.zeros((len(x), total_k))
+                for s0, kk in zip(starts, sizes):
+                    part = dist[:, s0:s0 + kk]
+                    lab = part.argmin(axis=1)
+                    hit[rows, s0 + lab] = 1.0
+                    acc_sse[s0:s0 + kk] += np.bincount(
+                        lab, weights=np.maximum(part[rows, lab], 0.0), minlength=kk)
+                acc_sum += hit.T @ x
+                acc_n += hit.sum(axis=0)
+            if seen:
+                # one flat partial per partition: per stacked centre [n, sse, sums]
+                flat = np.concatenate([acc_n[:, None], acc_sse[:, None], acc_sum], axis=1)
+                yield pd.DataFrame({"b": [TaskContext.get().partitionId() % _REDUCE_BUCKETS],
+                                    "v": [flat.ravel()]})
+
+        # two-level tree sum: partials meet first in <= _REDUCE_BUCKETS groups,
+        # then one final row -- no single task receives every partition's partial
+        tot = (vec.mapInPandas(step, "b int, v array<double>")
+                  .groupBy("b").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
+                  .agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"])
+        tot = (np.zeros((len(set_of), d + 2)) if tot is None
+               else np.asarray(tot.toArray()).reshape(len(set_of), d + 2))
+        agg = [{"s": live_sets[set_of[r]], "j": int(j_of[r]), "n": tot[r, 0], "sse": tot[r, 1],
+                **{f"c{i}": tot[r, 2 + i] for i in range(d)}} for r in range(len(set_of))]
         new = {i: centers[i].copy() for i in live}
         sse = {i: 0.0 for i in live}
         for r in agg:
@@ -253,6 +353,7 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
             centers[i] = new[i]
             if shift <= threshold:
                 active[i] = False
+    vec.unpersist()
     results = []
     _LAST_ITERATIONS[0] = self_iter + 1
     for k in ks:
@@ -274,7 +375,15 @@ class PCAFeatures:
     loadings: np.ndarray   # (d, n_components), sign-fixed
     explained: np.ndarray
 
+    def transform(self, df: DataFrame, prefix: str = "pca_") -> DataFrame:
+        """FT6 applied with one batched projection per row (see ``_dense_udf``)."""
+        udf = _dense_udf(self.means, self.stds, self.loadings, "project")
+        arr = df.withColumn("_pca_arr", udf(_inputs(self.cols)))
+        return arr.select("*", *[F.col("_pca_arr")[j].alias(f"{prefix}{j + 1}")
+                                 for j in range(self.loadings.shape[1])]).drop("_pca_arr")
+
     def exprs(self, prefix: str = "pca_") -> list[Column]:
+        """The same projection as column arithmetic (for a few inputs)."""
         z = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s)
              for c, m, s in zip(self.cols, self.means, self.stds)]
         out = []
