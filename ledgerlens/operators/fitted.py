@@ -210,20 +210,30 @@ def _init_centers(vec: DataFrame, cols: list[str], n: int, sets: list[tuple[int,
     One pass keeps, for every set, the rows whose seeded hash falls under a
     threshold sized for ~20 k candidates (a bounded sample for the driver);
     k-means++ (D^2 sampling, seeded per set) then picks the k centres from
-    that pool.  Falls back to all rows only when too few qualify (tiny data).
+    that pool.  Rows with a missing input are filtered in Spark; an unlucky
+    draw widens the fraction four-fold (all rows only when the pool size it
+    implies is already that small).
     """
     kmax = max(k for k, _ in sets)
-    frac = min(1.0, 20.0 * kmax / max(n, 1))
+    complete = None
+    for c in cols:
+        t = F.col(c).isNotNull() & ~F.isnan(c)
+        complete = t if complete is None else complete & t
+    n_ok = vec.where(complete).count()     # rows with a missing input are not fitted
+    if n_ok < kmax:
+        raise ValueError("fewer rows than clusters")
+    frac = min(1.0, 20.0 * kmax / n_ok)
     row_hash = F.xxhash64(*[F.col(c) for c in cols])
     hashes = [F.abs(F.xxhash64(row_hash, F.lit(seed + 7919 * i))).cast("double")
               / F.lit(float(2 ** 63)) for i in range(len(sets))]
-    for _ in range(2):
+    while True:
         cond = None
         for h in hashes:
             t = h < F.lit(frac)
             cond = t if cond is None else cond | t
-        cand = vec.select(*cols, *[h.alias(f"_h{i}") for i, h in enumerate(hashes)]).where(cond)
-        rows = [r for r in cand.collect() if all(r[c] is not None for c in cols)]
+        cand = vec.where(complete).select(
+            *cols, *[h.alias(f"_h{i}") for i, h in enumerate(hashes)]).where(cond)
+        rows = cand.collect()   # expected ~20 x kmax rows per set: bounded
         pts = np.array([[r[c] for c in cols] for r in rows], dtype=float).reshape(len(rows), len(cols))
         hs = np.array([[r[f"_h{i}"] for i in range(len(sets))] for r in rows],
                       dtype=float).reshape(len(rows), len(sets))
@@ -242,10 +252,11 @@ def _init_centers(vec: DataFrame, cols: list[str], n: int, sets: list[tuple[int,
                 chosen.append(pool[idx])
                 d2 = np.minimum(d2, ((pool - pool[idx]) ** 2).sum(axis=1))
             out.append(np.array(chosen))
-        if len(out) == len(sets):
+        if len(out) == len(sets) or frac >= 1.0:
+            if len(out) < len(sets):
+                raise ValueError("fewer rows than clusters")
             return out
-        frac = 1.0
-    raise ValueError("fewer rows than clusters")
+        frac = min(1.0, frac * 4.0)   # an unlucky draw: widen the pool, not to all rows
 
 
 def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
