@@ -78,8 +78,9 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "_features",
                            handleInvalid="keep").transform(casted).select(*keep, out)
 
 
-def standardize_exprs(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float]]:
-    """Mean and population std (zero -> 1) in one aggregate."""
+def standardize_exprs(df: DataFrame, cols: Sequence[str], with_raw: bool = False):
+    """Mean and population std (zero -> 1) in one aggregate (``with_raw``:
+    also the unreplaced stds, None for an all-null column)."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -87,6 +88,8 @@ def standardize_exprs(df: DataFrame, cols: Sequence[str]) -> tuple[list[float],
     row = df.agg(*aggs).first()
     means = [float(row[2 * i] or 0.0) for i in range(len(cols))]
     stds = [float(row[2 * i + 1]) if row[2 * i + 1] else 1.0 for i in range(len(cols))]
+    if with_raw:
+        return means, stds, [row[2 * i + 1] for i in range(len(cols))]
     return means, stds
 
 
@@ -278,7 +281,7 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
     """
     cols = list(cols)
     d = len(cols)
-    means, stds = standardize_exprs(df, cols)
+    means, stds, raw_stds = standardize_exprs(df, cols, with_raw=True)
     scaled = df.select(*[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(f"x{i}")
                          for i, (c, m, s) in enumerate(zip(cols, means, stds))])
     xcols = [f"x{i}" for i in range(d)]
@@ -291,8 +294,10 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
     n = vec.count()
     sets = [(k, r) for k in ks for r in range(restarts)]
     centers = _init_centers(vec, xcols, n, sets, seed)
-    var = vec.agg(*[F.var_pop(c) for c in xcols]).first()
-    threshold = tol * float(np.mean([v or 0.0 for v in var]))
+    # tolerance scale = mean variance of the standardised inputs: 1 for a
+    # column with a nonzero population std, 0 for a constant / empty one --
+    # known from the moments already computed, so no extra pass
+    threshold = tol * float(np.mean([1.0 if v else 0.0 for v in raw_stds]))
     active = [True] * len(sets)
     costs = [float("inf")] * len(sets)
     for self_iter in range(max_iter):
