@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .op9_decontaminate import op9_decontaminate
 from .op10_near_dup import op10_near_dup
 
-QUERIES = {"op10_near_dup": op10_near_dup}
+QUERIES = {"op9_decontaminate": op9_decontaminate, "op10_near_dup": op10_near_dup}
 ORACLE: dict[str, str] = {}
