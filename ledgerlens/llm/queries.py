@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from .op1_sentencepiece import op1_sentencepiece
 from .op3_toxicity import op3_toxicity
+from .op5_pii import op5_pii
 from .op9_decontaminate import op9_decontaminate
 from .op10_near_dup import op10_near_dup
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op3_toxicity": op3_toxicity, "op9_decontaminate": op9_decontaminate, "op10_near_dup": op10_near_dup}
+QUERIES = {"op5_pii": op5_pii, "op1_sentencepiece": op1_sentencepiece, "op3_toxicity": op3_toxicity, "op9_decontaminate": op9_decontaminate, "op10_near_dup": op10_near_dup}
 ORACLE: dict[str, str] = {}
