@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from . import op2_warc as warc_query
+from . import op4_url_reputation as url_query
 from .op1_sentencepiece import op1_sentencepiece
+from .op2_warc import op2_warc
 from .op3_toxicity import op3_toxicity
+from .op4_url_reputation import op4_url_reputation
 from .op5_pii import op5_pii
+from .op6_quality import op6_quality
+from .op7_language_model import op7_language_model
+from .op8_quality_rules import op8_quality_rules
 from .op9_decontaminate import op9_decontaminate
 from .op10_near_dup import op10_near_dup
 
-QUERIES = {"op5_pii": op5_pii, "op1_sentencepiece": op1_sentencepiece, "op3_toxicity": op3_toxicity, "op9_decontaminate": op9_decontaminate, "op10_near_dup": op10_near_dup}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_sentencepiece, op2_warc, op3_toxicity, op4_url_reputation, op5_pii, op6_quality,
+    op7_language_model, op8_quality_rules, op9_decontaminate, op10_near_dup)}
+#: The other queries are checked in tests/llm by brute force, round trips or held-out accuracy.
+ORACLE: dict[str, str] = {"op2_warc": warc_query.ORACLE, "op4_url_reputation": url_query.ORACLE}
