@@ -20,6 +20,12 @@ SUMMER_MONTHS = (6, 8)     # SC10: June..August inclusive
 WINTER_MONTHS = (12, 1, 2) # SC10: December, January, February
 
 
+def number(c: str | Column) -> Column:
+    """The column as DOUBLE with NaN as null: statistics skip both alike (as pandas does)."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 

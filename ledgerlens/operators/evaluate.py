@@ -126,5 +126,6 @@ def permuted_variants(partnered: DataFrame, cols: Sequence[str], keep: Sequence[
     return partnered.select(*keep, F.explode(F.array(*variants)).alias("_v")).select(*keep, "_v.*")
 
 
-def bucket_count(n_rows: int, rows_per_bucket: int = PERM_BUCKET_ROWS) -> int:
-    return max(1, -(-n_rows // rows_per_bucket))
+def bucket_count(n_rows: int, rows_per_bucket: int = PERM_BUCKET_ROWS, parallelism: int = 1) -> int:
+    """Buckets of at most ``rows_per_bucket`` rows, and as many as tasks can run at once."""
+    return max(1, parallelism, -(-n_rows // rows_per_bucket))

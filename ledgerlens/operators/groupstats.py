@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import number
 from .encode import fold_of
 from .lookup import Lookup
 from .order_stats import (_RANK0, group_quantiles, quantiles_from_ranked,
@@ -36,7 +37,7 @@ def _moments(df: DataFrame, key: str, cols: Sequence[str], stats: Sequence[str],
              template: str) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_gn")]
     for c in cols:
-        x = F.col(c).cast("double")
+        x = number(c)
         if "mean" in stats:
             aggs.append(F.avg(x).alias(_name("mean", c, key, template)))
         if "std" in stats:
@@ -93,10 +94,11 @@ def add_group_stats(df: DataFrame, key: str, cols: Sequence[str],
     out = Lookup.materialise(table).join_to(df, key, "left")
     if rank_pct:
         for c in cols:
+            # NaN has no rank, as null has none
             part = ranked.df.where(F.col("_gcol") == c).select(
                 key, F.col("_gval").alias("_gv"), (F.col(_RANK0) + 1).alias("_grank"))
             out = Lookup(part, ranked.rows).join_to(
-                out.withColumn("_gv", F.col(c).cast("double")), [key, "_gv"], "left")
+                out.withColumn("_gv", number(c)), [key, "_gv"], "left")
             out = out.withColumn(_name("rank_pct", c, key, template),
                                  F.col("_grank") / F.col("_gn")).drop("_gv", "_grank")
     if dev:
@@ -126,11 +128,14 @@ def target_stats_oof(df: DataFrame, key: str, target: str, row_key: Sequence[str
                      template: str = "target_{stat}_by_{key}") -> DataFrame:
     """AG8 leak-safe: a row in fold f gets statistics of its group over the other folds.
 
+    There is no deviation column here: next to the out-of-fold mean it would
+    give the row's own target away (mean + deviation = target).
+
     The median is not subtractable, so each row is replicated to the
     ``folds - 1`` held-out folds it serves (small constant factor, combined
     map-side) and all three statistics are computed per ``(key, held_fold)``.
     """
-    y = F.col(target).cast("double")
+    y = number(target)
     with_fold = df.withColumn("_fold", fold_of(row_key, folds, seed))
     others = F.filter(F.array(*[F.lit(i) for i in range(folds)]), lambda f: f != F.col("_fold"))
     spread = (with_fold.where(F.col(key).isNotNull())
@@ -142,6 +147,4 @@ def target_stats_oof(df: DataFrame, key: str, target: str, row_key: Sequence[str
                           names=[template.format(stat="median", key=key)], method=method)
     table = Lookup.materialise(moments.join(med, [key, "_held"], "left")
                                .withColumnRenamed("_held", "_fold"))
-    out = table.join_to(with_fold, [key, "_fold"], "left")
-    return out.withColumn(template.format(stat="dev_from_mean", key=key),
-                          y - F.col(template.format(stat="mean", key=key)))
+    return table.join_to(with_fold, [key, "_fold"], "left")

@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from .fitted import assemble
 
-MAX_DEPTH_LIMIT = 30   # Spark ML trees reject depth > 30
+MAX_DEPTH_LIMIT = 30   # Spark ML's trees are at most this deep; deeper parameters raise
 SEED = 42
 
-# The reference's search spaces and parameter sets.
+# The reference's search spaces and parameter sets.  The forest's depth
+# range ends at Spark's limit (the reference's ends at 40), declared here once.
 FOREST_BASELINE = {"n_estimators": 200, "max_depth": 20}
 FOREST_SPACE = {
     "n_estimators": (400, 800),
-    "max_depth": (20, 40),
+    "max_depth": (20, MAX_DEPTH_LIMIT),
     "min_samples_leaf": (1, 10),
     "max_features": ("sqrt", "log2", None),
     "max_samples": (0.7, 0.9),
@@ -37,11 +38,11 @@ EXTRA_TREES = {"n_estimators": 500, "max_depth": 25, "min_samples_leaf": 2,
                "max_features": "sqrt"}
 BOOST_A_SETS = [
     {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 300, "min_child_weight": 1,
-     "subsample": 0.9},
+     "subsample": 0.9, "colsample_bytree": 0.9, "gamma": 0.1, "reg_alpha": 0.1, "reg_lambda": 1.0},
     {"max_depth": 6, "learning_rate": 0.05, "n_estimators": 200, "min_child_weight": 5,
-     "subsample": 0.8},
+     "subsample": 0.8, "colsample_bytree": 0.8, "gamma": 0.5, "reg_alpha": 1.0, "reg_lambda": 5.0},
     {"max_depth": 9, "learning_rate": 0.01, "n_estimators": 300, "min_child_weight": 10,
-     "subsample": 1.0},
+     "subsample": 1.0, "colsample_bytree": 1.0, "gamma": 1.0, "reg_alpha": 0.1, "reg_lambda": 1.0},
 ]
 BOOST_B_SETS = [
     {"iterations": 500, "learning_rate": 0.03, "depth": 6},
@@ -53,17 +54,25 @@ CV_FOLDS = 3
 
 _UNSUPPORTED = {"reg_alpha", "reg_lambda", "bagging_temperature", "random_strength",
                 "l2_leaf_reg", "min_samples_split"}
+REGULARISERS = ("reg_alpha", "reg_lambda", "l2_leaf_reg")
 _FEATURE_SUBSET = {"sqrt": "sqrt", "log2": "log2", None: "all", "auto": "auto"}
 
 
-def map_params(params: dict, boosted: bool) -> dict:
-    """Reference learner parameters -> Spark ML parameters."""
+def map_params(params: dict, boosted: bool, without: Sequence[str] = ()) -> dict:
+    """Reference learner parameters -> Spark ML parameters.
+
+    A parameter without a counterpart raises, unless the caller names it in
+    ``without`` and so says that it is left out.
+    """
     out = {}
+    params = {k: v for k, v in params.items() if k not in without}
     for k, v in params.items():
         if k in ("n_estimators", "iterations"):
             out["maxIter" if boosted else "numTrees"] = int(v)
         elif k in ("max_depth", "depth"):
-            out["maxDepth"] = min(int(v), MAX_DEPTH_LIMIT)
+            if int(v) > MAX_DEPTH_LIMIT:
+                raise ValueError(f"{k}={v}: Spark ML trees are at most {MAX_DEPTH_LIMIT} deep")
+            out["maxDepth"] = int(v)
         elif k == "learning_rate":
             out["stepSize"] = float(v)
         elif k in ("min_samples_leaf", "min_child_weight"):
@@ -96,9 +105,12 @@ def forest(params: dict | None = None, features: str = "features", label: str =
 
 def boosted(params: dict | None = None, features: str = "features", label: str = "label",
             seed: int = SEED, validation_col: str | None = None,
-            tol: float = 0.01) -> GBTRegressor:
-    """MD5 / MD6: gradient-boosted trees; TN3 early stop via ``validationIndicatorCol``."""
-    p = map_params(params or {}, boosted=True)
+            tol: float = 0.01, without: Sequence[str] = REGULARISERS) -> GBTRegressor:
+    """MD5 / MD6: gradient-boosted trees; TN3 early stop via ``validationIndicatorCol``.
+
+    ``without`` names parameters left out: Spark's trees have no leaf-weight penalties.
+    """
+    p = map_params(params or {}, boosted=True, without=without)
     if validation_col:
         p.update(validationIndicatorCol=validation_col, validationTol=tol)
     return GBTRegressor(featuresCol=features, labelCol=label, seed=seed, **p)

@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .lookup import Lookup
@@ -65,10 +66,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str],
 def ranked_histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct ``(by..., value)`` with ``_oc`` (multiplicity), ``_orank0`` and ``_on``.
 
-    Null values are excluded (they have no rank).  ``value`` may be any
+    Null and NaN values are excluded (they have no rank).  ``value`` may be any
     orderable column, including a struct used as a composite sort key.
     """
     by = list(by)
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        df = df.where(~F.isnan(value))
     hist = (df.where(F.col(value).isNotNull())
               .groupBy(*by, value).agg(F.count(F.lit(1)).alias(_C)))
     ranged = cut_lineage(
@@ -128,7 +131,8 @@ def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     if len(names) != len(probs):
         raise ValueError("one name per probability")
     if method == "approx":
-        arr = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
+        x = F.col(value).cast("double")
+        arr = F.percentile_approx(F.when(~F.isnan(x), x), list(probs), accuracy)
         out = df.groupBy(*by).agg(arr.alias("_oq"))
         return out.select(*by, *[F.col("_oq")[i].alias(n) for i, n in enumerate(names)])
     if method != "exact":

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,7 +202,7 @@ def reconcile(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     per_dim = per_cat.groupBy("dim").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_categories"),
         F.sum("n").cast("bigint").alias("total"))
-    rows = F.lit(df.count()).cast("bigint")
-    return per_dim.select(
-        "dim", "n_categories", "total", rows.alias("rows"),
-        (F.col("total") == rows).alias("matches"))
+    # a row has one value (or null) in each dimension: the rows' number is any dimension's total
+    rows = F.max("total").over(Window.partitionBy())
+    return per_dim.select("dim", "n_categories", "total", rows.alias("rows")).withColumn(
+        "matches", F.col("total") == F.col("rows"))

@@ -1,23 +1,29 @@
 """Correlation and feature selection (AG10, AG11, PR11, TK3, TK4, TK6, R19, FS1).
 
-Correlations are one aggregate pass: ``covar_samp / (stddev_samp * stddev_samp)``
-through ``try_divide`` so a constant column yields NULL instead of an ANSI
-divide-by-zero.  Past ``MAX_PAIRWISE`` columns the matrix switches to Spark
-ML's ``Correlation`` (one distributed Gramian).  Only k x k numbers reach the
-driver.
+A pair's correlation is over the rows where both values are there (neither
+null nor NaN), whatever the other columns hold and however many there are;
+a constant column yields NULL.  Up to ``MAX_PAIRWISE`` columns the pairs are one
+aggregate; more columns take the same sums from Gram matrices of the values
+and their masks (``_gram_corr``), which Spark adds up block by block.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import number
 from .bins import fit_quantile_binner
 
-MAX_PAIRWISE = 40          # columns; beyond this use the Gramian path
+MAX_PAIRWISE = 40          # columns; beyond, the same sums come from Gram matrices
+GRAM_BUCKETS = 512         # first level of the sum of the tasks' Gram blocks
 PRUNE_THRESHOLD = 0.95     # R19: |r| above which the later column is dropped
 MI_BINS = 10               # FS1: quantile bins on each side
 TOP_TARGET_CORR = 5        # TK3
@@ -26,7 +32,9 @@ TOP_K_FEATURES = 50        # TK6
 
 
 def safe_corr(x: str, y: str) -> Column:
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    """Pearson r over the rows where both are present; NULL if either is constant there."""
+    a, b = number(x), number(y)
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
     return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
 
 
@@ -43,7 +51,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AG10 long form ``i, j, feature_i, feature_j, r`` for all ordered pairs (i != j)."""
     cols = list(cols)
     if len(cols) > MAX_PAIRWISE:
-        return _gramian_corr(df, cols)
+        return _gram_corr(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     wide = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in pairs])
     rows = []
@@ -56,15 +64,38 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_x")).select("_x.*")
 
 
-def _gramian_corr(df: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.stat import Correlation
+def _gram_corr(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The matrix of many columns: per pair n, sums, squares and products over complete pairs.
 
-    from .fitted import assemble
-
-    vec = assemble(df.na.drop(subset=cols), cols)
-    mat = Correlation.corr(vec, "_features").first()[0].toArray()
-    rows = [(i, j, cols[i], cols[j], None if math.isnan(mat[i, j]) else float(mat[i, j]))
-            for i in range(len(cols)) for j in range(len(cols)) if i != j]
+    Values are shifted by their means and scaled first (one aggregate), which
+    changes no correlation and keeps the sums well conditioned.  Each task
+    emits one block of k x k sums; blocks meet in buckets, then in one row.
+    """
+    k = len(cols)
+    row = df.agg(*[f(number(c)) for c in cols for f in (F.avg, F.stddev_samp)]).first()
+    mid = np.array([row[2 * i] or 0.0 for i in range(k)])
+    wide = np.array([row[2 * i + 1] or 1.0 for i in range(k)])
+
+    def run(batches):
+        total = np.zeros((4, k, k))
+        for pdf in batches:
+            x = (pdf.to_numpy(dtype=float, na_value=np.nan) - mid) / wide
+            m = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        yield pd.DataFrame({"b": [TaskContext.get().partitionId() % GRAM_BUCKETS], "v": [total.ravel()]})
+
+    blocks = df.select(*[number(c).alias(f"x{i}") for i, c in enumerate(cols)]).mapInPandas(run, "b int, v array<double>")
+    total = (blocks.groupBy("b").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
+             .agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"])
+    n, s, q, p = (np.zeros((4, k, k)) if total is None else total.toArray().reshape(4, k, k))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        va, vb = q - s * s / n, (q - s * s / n).T
+        r = (p - s * s.T / n) / np.sqrt(va * vb)
+    # what is left of a constant's variance is rounding
+    flat = (va <= 1e-12 * np.maximum(q, 1e-300)) | (vb <= 1e-12 * np.maximum(q.T, 1e-300)) | ~np.isfinite(r)
+    rows = [(i, j, cols[i], cols[j], None if flat[i, j] else float(r[i, j]))
+            for i in range(k) for j in range(k) if i != j]
     return df.sparkSession.createDataFrame(
         rows, "i int, j int, feature_i string, feature_j string, r double")
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .select import safe_corr
+
 TOP_CATEGORIES = 10   # R9: the coverage table lists the top 10
 PEAK_MONTHS = 3       # R8
 Q4_MONTHS = (10, 11, 12)
@@ -37,13 +39,15 @@ def first_last_change(trend: DataFrame) -> DataFrame:
 
 def monthly_profile(df: DataFrame, month: str, target: str,
                     peaks: int = PEAK_MONTHS) -> DataFrame:
-    """``month, average, dev_from_mean, is_peak`` (overall mean of all rows)."""
+    """``month, average, dev_from_mean, is_peak`` (overall mean of all rows, from the months' sums)."""
     y = F.col(target).cast("double")
-    overall = df.agg(F.avg(y)).first()[0]
-    per = df.groupBy(F.col(month).cast("bigint").alias("month")).agg(F.avg(y).alias("average"))
+    per = df.groupBy(F.col(month).cast("bigint").alias("month")).agg(
+        F.avg(y).alias("average"), F.sum(y).alias("_s"), F.count(y).alias("_c"))
     w = Window.orderBy(F.col("average").desc(), F.col("month").asc())
+    every = Window.partitionBy()   # over the grouped rows, one for each month
+    overall = F.try_divide(F.sum("_s").over(every), F.sum("_c").over(every))
     return per.select("month", "average",
-                      (F.col("average") - F.lit(overall)).alias("dev_from_mean"),
+                      (F.col("average") - overall).alias("dev_from_mean"),
                       (F.row_number().over(w) <= peaks).alias("is_peak"))
 
 
@@ -55,21 +59,20 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
 
 def coverage(df: DataFrame, col: str, top: int = TOP_CATEGORIES) -> DataFrame:
     """Top-N categories by count with share and cumulative share of all rows (%)."""
-    total = df.count()
-    counts = category_counts(df, col)
+    # the total is the sum of the counts; only grouped rows take this window
+    counts = category_counts(df, col).withColumn("_total", F.sum("n").over(Window.partitionBy()))
     head = counts.orderBy(F.col("n").desc(), F.col("category").asc()).limit(top)
     w = Window.orderBy(F.col("n").desc(), F.col("category").asc())
     return head.select(
         F.row_number().over(w).cast("bigint").alias("position"), "category", "n",
-        (F.col("n") * 100.0 / F.lit(total)).alias("pct"),
-        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) * 100.0 / F.lit(total))
+        (F.col("n") * 100.0 / F.col("_total")).alias("pct"),
+        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) * 100.0 / F.col("_total"))
         .alias("cum_pct"))
 
 
 def pair_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Pearson r of two columns (NULL when either is constant)."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    return df.agg(F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b)).alias("r"))
+    """Pearson r of two columns over their complete pairs (NULL when either is constant)."""
+    return df.agg(safe_corr(x, y).alias("r"))
 
 
 def density(df: DataFrame, key: str, numerator: str, denominator: str) -> DataFrame:
@@ -105,9 +108,10 @@ def historical_average(df: DataFrame, key: str, year: str, month: str,
 def risk_score(df: DataFrame, key: str, target: str) -> DataFrame:
     """Group mean of the target divided by the overall mean."""
     y = F.col(target).cast("double")
-    overall = df.agg(F.avg(y)).first()[0]
-    return df.groupBy(key).agg(F.avg(y).alias("_m")).select(
-        key, F.try_divide(F.col("_m"), F.lit(overall)).alias("risk"))
+    every = Window.partitionBy()   # over the grouped rows
+    overall = F.try_divide(F.sum("_s").over(every), F.sum("_c").over(every))
+    return df.groupBy(key).agg(F.avg(y).alias("_m"), F.sum(y).alias("_s"), F.count(y).alias("_c")).select(
+        key, F.try_divide(F.col("_m"), overall).alias("risk"))
 
 
 def conditional_uplift(df: DataFrame, target: str, cond, name: str) -> F.Column:

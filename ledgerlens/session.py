@@ -54,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir()
@@ -70,23 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_stage(df: DataFrame, name: str = "stage", spread_by: tuple[str, ...] = ()) -> DataFrame:
+def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the session's
     checkpoint directory (a shared folder on a cluster) and reading it back.
 
     Unlike ``checkpoint()`` the re-read is columnar: later passes that need a
-    few columns prune the rest and get filters pushed into the scan.
-    ``spread_by`` names a row key used to spread an under-partitioned input.  Use it
-    for inputs read many times; keep ``cut_lineage`` where partition ids of
-    the result must be stable (ranked order statistics).
+    few columns prune the rest and get filters pushed into the scan.  Use it
+    for inputs read many times, projected to what is read; keep ``cut_lineage``
+    where partition ids of the result must be stable (ranked order statistics).
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    par = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < par:
-        # a few large input files give fewer scan partitions than cores; hash
-        # the rows over all cores (a no-op on a cluster with many input splits)
-        df = df.repartition(par, *spread_by)
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -35,7 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def facts(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, materialize: bool = False,
+          columns: tuple[str, ...] = ()) -> DataFrame:
     """lineitem x orders x customer x nation x part with role-named columns.
 
     Join order keeps the two big shuffles on lineitem's own keys
@@ -43,7 +44,7 @@ def facts(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFr
     behind a counted broadcast.  ``materialize=True`` writes the joined rows
     once as a parquet table in the checkpoint folder for callers that make
     several passes, so the join is not recomputed per pass and each pass
-    reads only the columns it needs.
+    reads only the columns it needs; ``columns`` (besides the key) says which.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -73,7 +74,9 @@ def facts(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFr
         F.col("l_linenumber").cast("bigint").alias("taxpayers"),
         F.col("l_extendedprice").cast("double").alias("amount"),
     )
-    return write_stage(out, "facts", spread_by=FACT_KEY) if materialize else out
+    if columns:
+        out = out.select(*FACT_KEY, *columns)
+    return write_stage(out, "facts") if materialize else out
 
 
 # SQL text of the same binding, used by the DuckDB oracle strings.
