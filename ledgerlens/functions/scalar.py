@@ -20,6 +20,11 @@ SUMMER_MONTHS = (6, 8)     # SC10: June..August inclusive
 WINTER_MONTHS = (12, 1, 2) # SC10: December, January, February
 
 
+def expm1(c: str | Column) -> Column:
+    """FT7 inverse: a target (or prediction) on the log1p scale back in its own units."""
+    return F.expm1((F.col(c) if isinstance(c, str) else c).cast("double"))
+
+
 def number(c: str | Column) -> Column:
     """The column as DOUBLE with NaN as null: statistics skip both alike (as pandas does)."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double")

@@ -84,6 +84,11 @@ def blend(pred_a: Column, pred_b: Column, weight: float = BLEND_WEIGHT) -> Colum
     return F.lit(weight) * pred_a + F.lit(1.0 - weight) * pred_b
 
 
+def blended_importances(a: Sequence[float], b: Sequence[float], weight: float = BLEND_WEIGHT) -> list[float]:
+    """MD4: ``w * a + (1 - w) * b`` of two models' importances over the same features."""
+    return [weight * x + (1.0 - weight) * y for x, y in zip(a, b, strict=True)]
+
+
 def importance_table(spark, names: Sequence[str], values: Sequence[float],
                      std: Sequence[float] | None = None) -> DataFrame:
     """IMP1: ``feature, importance, std`` sorted descending (name breaks ties)."""

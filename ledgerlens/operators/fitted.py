@@ -11,16 +11,18 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, TaskContext
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
+from pyspark import inheritable_thread_target
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..functions.scalar import number
+from ..session import write_stage
 
 # Fixed values of the reference's feature set.
 RFF_GAMMAS = (0.1, 0.5, 1.0, 5.0)
@@ -29,8 +31,6 @@ KMEANS_KS = (3, 5, 8)
 KMEANS_RESTARTS = 10
 PCA_MAX_COMPONENTS = 10
 SEED = 42
-_REDUCE_BUCKETS = 512    # first level of the KMeans partial-sum tree
-_LAST_ITERATIONS = [0]   # passes used by the last fit_kmeans_many (diagnostics)
 
 
 # FT3 ---------------------------------------------------------------------
@@ -83,7 +83,7 @@ def standardize_exprs(df: DataFrame, cols: Sequence[str], with_raw: bool = False
     also the unreplaced stds, None for an all-null column)."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.avg(x), F.stddev_pop(x)]
     row = df.agg(*aggs).first()
     means = [float(row[2 * i] or 0.0) for i in range(len(cols))]
@@ -112,92 +112,45 @@ class KMeansFeatures:
     def k(self) -> int:
         return self.centers.shape[0]
 
-    def _z_exprs(self) -> list[Column]:
-        return [(F.col(c).cast("double") - F.lit(m)) / F.lit(s)
-                for c, m, s in zip(self.cols, self.means, self.stds)]
-
-    def distance_exprs(self, prefix: str, z: list[Column] | None = None) -> list[Column]:
-        """FT5: Euclidean distance to every centroid on the standardised inputs."""
-        z = z if z is not None else self._z_exprs()
-        out = []
-        for j in range(self.k):
-            acc = None
-            for i, zi in enumerate(z):
-                d = zi - F.lit(float(self.centers[j, i]))
-                acc = d * d if acc is None else acc + d * d
-            out.append(F.sqrt(acc).alias(f"{prefix}{j}"))
-        return out
-
     def transform(self, df: DataFrame, label: str, dist_prefix: str) -> DataFrame:
         return transform_kmeans(df, [(self, label, dist_prefix)])
 
 
-def _dense_udf(means: Sequence[float], stds: Sequence[float], mat: np.ndarray, kind: str):
-    """Arrow-batched numpy map of standardised inputs to a short DOUBLE array.
-
-    ``kind="dist"``: Euclidean distance to each row of ``mat`` (centres);
-    ``kind="project"``: ``z @ mat`` (loadings).  A row with a missing input
-    gets a null array, like the null-propagating column arithmetic.  Used for
-    wide dense algebra (tens of inputs x tens of outputs), where one literal
-    expression per output grows past what whole-stage codegen compiles.
-    """
-    mu = np.asarray(means, dtype=float)
-    sd = np.asarray(stds, dtype=float)
-    m = np.asarray(mat, dtype=float)
-
-    @F.pandas_udf("array<double>")
-    def apply(inputs: pd.DataFrame) -> pd.Series:
-        x = inputs.to_numpy(dtype=float, na_value=np.nan)
-        z = (x - mu) / sd
-        if kind == "dist":
-            out = np.empty((len(z), m.shape[0]))
-            for j in range(m.shape[0]):
-                diff = z - m[j]
-                out[:, j] = np.sqrt((diff * diff).sum(axis=1))
-        else:
-            out = z @ m
-        bad = np.isnan(x).any(axis=1)
-        return pd.Series([None if b else r for b, r in zip(bad, out.tolist())])
-
-    return apply
+def _standardised(cols: Sequence[str], means: Sequence[float], stds: Sequence[float]) -> Column:
+    """One array of the standardised inputs; NaN counts as null."""
+    x = F.array(*[number(c) for c in cols])
+    mid, wide = F.lit([float(m) for m in means]), F.lit([float(s) for s in stds])
+    return F.zip_with(F.zip_with(x, mid, lambda v, m: v - m), wide, lambda v, s: v / s)
 
 
-def _inputs(cols: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+def distances(z: Column, centers: np.ndarray) -> list[Column]:
+    """FT5: Euclidean distance of an array column to each centre (null if the array holds a null)."""
+    def one(center):
+        sq = F.zip_with(z, F.lit([float(v) for v in center]), lambda a, b: (a - b) * (a - b))
+        return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v))
+    return [one(c) for c in np.asarray(centers, dtype=float)]
 
 
 def transform_kmeans(df: DataFrame, models: list[tuple[KMeansFeatures, str, str]]) -> DataFrame:
-    """FT4/FT5 for several fitted models that share inputs.
+    """FT4/FT5 for several fitted models, in the JVM.
 
-    Models fitted on the same standardised inputs share one batched distance
-    call (all their centres stacked); the distance columns are elements of
-    its array and the label (argmin, first wins ties) is a JVM expression.
+    Models fitted on the same standardised inputs share one array of them;
+    the label is the first nearest centre.
     """
-    groups: dict[tuple, list[int]] = {}
-    for idx, (km, _, _) in enumerate(models):
-        groups.setdefault((tuple(km.cols), tuple(km.means), tuple(km.stds)), []).append(idx)
-    staged = df
-    dist_cols: list[Column] = []
-    tmp = []
-    for g, (key, idxs) in enumerate(groups.items()):
-        cols, means, stds = key
-        stacked = np.vstack([models[i][0].centers for i in idxs])
-        arr = f"_kmd{g}"
-        tmp.append(arr)
-        staged = staged.withColumn(
-            arr, _dense_udf(means, stds, stacked, "dist")(_inputs(cols)))
-        off = 0
-        for i in idxs:
-            km, _, prefix = models[i]
-            dist_cols += [F.col(arr)[off + j].alias(f"{prefix}{j}") for j in range(km.k)]
-            off += km.k
-    with_d = staged.select("*", *dist_cols)
+    arrays: dict[tuple, str] = {}
+    for km, _, _ in models:
+        arrays.setdefault((tuple(km.cols), tuple(km.means), tuple(km.stds)), f"_z{len(arrays)}")
+    out = df.select("*", *[_standardised(*key).alias(name) for key, name in arrays.items()])
+    dists = []
+    for km, _, prefix in models:
+        z = F.col(arrays[tuple(km.cols), tuple(km.means), tuple(km.stds)])
+        dists += [d.alias(f"{prefix}{j}") for j, d in enumerate(distances(z, km.centers))]
+    out = out.select("*", *dists)
     labels = []
     for km, label, prefix in models:
-        dists = [F.col(f"{prefix}{j}") for j in range(km.k)]
-        best = F.array_position(F.array(*dists), F.least(*dists)) - 1
-        labels.append(best.cast("int").alias(label))
-    return with_d.select("*", *labels).drop(*tmp)
+        own = [F.col(f"{prefix}{j}") for j in range(km.k)]
+        labels.append((F.array_position(F.array(*own), F.least(*own)) - 1).cast("int").alias(label))
+    return out.select("*", *labels).drop(*arrays.values())
 
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEANS_RESTARTS,
@@ -206,179 +159,36 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEAN
     return fit_kmeans_many(df, cols, [k], restarts, seed, max_iter, tol)[0]
 
 
-def _init_centers(vec: DataFrame, cols: list[str], n: int, sets: list[tuple[int, int]],
-                  seed: int) -> list[np.ndarray]:
-    """Initial centres per (k, restart): k-means++ seeding inside a candidate pool.
-
-    One pass keeps, for every set, the rows whose seeded hash falls under a
-    threshold sized for ~20 k candidates (a bounded sample for the driver);
-    k-means++ (D^2 sampling, seeded per set) then picks the k centres from
-    that pool.  Rows with a missing input are filtered in Spark; an unlucky
-    draw widens the fraction four-fold (all rows only when the pool size it
-    implies is already that small).
-    """
-    kmax = max(k for k, _ in sets)
-    complete = None
-    for c in cols:
-        t = F.col(c).isNotNull() & ~F.isnan(c)
-        complete = t if complete is None else complete & t
-    n_ok = vec.where(complete).count()     # rows with a missing input are not fitted
-    if n_ok < kmax:
-        raise ValueError("fewer rows than clusters")
-    frac = min(1.0, 20.0 * kmax / n_ok)
-    row_hash = F.xxhash64(*[F.col(c) for c in cols])
-    hashes = [F.abs(F.xxhash64(row_hash, F.lit(seed + 7919 * i))).cast("double")
-              / F.lit(float(2 ** 63)) for i in range(len(sets))]
-    while True:
-        cond = None
-        for h in hashes:
-            t = h < F.lit(frac)
-            cond = t if cond is None else cond | t
-        cand = vec.where(complete).select(
-            *cols, *[h.alias(f"_h{i}") for i, h in enumerate(hashes)]).where(cond)
-        rows = cand.collect()   # expected ~20 x kmax rows per set: bounded
-        pts = np.array([[r[c] for c in cols] for r in rows], dtype=float).reshape(len(rows), len(cols))
-        hs = np.array([[r[f"_h{i}"] for i in range(len(sets))] for r in rows],
-                      dtype=float).reshape(len(rows), len(sets))
-        out = []
-        for i, (k, _) in enumerate(sets):
-            pool = pts[np.argsort(hs[:, i], kind="stable")]
-            pool = pool[np.sort(hs[:, i])[: len(pool)] < frac]
-            if len(pool) < k:
-                break
-            rng = np.random.RandomState(seed + i)
-            chosen = [pool[0]]
-            d2 = ((pool - pool[0]) ** 2).sum(axis=1)
-            for _j in range(1, k):
-                total = d2.sum()
-                idx = int(rng.choice(len(pool), p=d2 / total)) if total > 0 else _j
-                chosen.append(pool[idx])
-                d2 = np.minimum(d2, ((pool - pool[idx]) ** 2).sum(axis=1))
-            out.append(np.array(chosen))
-        if len(out) == len(sets) or frac >= 1.0:
-            if len(out) < len(sets):
-                raise ValueError("fewer rows than clusters")
-            return out
-        frac = min(1.0, frac * 4.0)   # an unlucky draw: widen the pool, not to all rows
-
-
 def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
                     restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300,
-                    tol: float = 1e-4) -> list[KMeansFeatures]:
-    """FT4: Lloyd's algorithm for every k and every restart in the SAME passes.
-
-    Inputs are standardised (population std).  Each iteration is one Spark job:
-    a ``mapInPandas`` computes, per Arrow batch and with numpy, the nearest
-    centre of every row for all ``len(ks) * restarts`` centre sets (one matmul
-    against the stacked centres) and emits one flat vector of per-(set,
-    cluster) partial sums per partition; a two-level ``Summarizer.sum`` tree
-    (partition-id buckets, then one row) adds them up.  So the
-    data is read ~``max_iter_used`` times in total instead of once per
-    iteration per restart per k.  Convergence per set: squared centre shift
-    <= ``tol`` x mean feature variance; an empty cluster keeps its centre.
-    The best restart per k is the lowest inertia (ties -> lowest seed);
-    centroids are put in canonical (lexicographic) order.
+                    tol: float = 1e-4, parallelism: int = 4) -> list[KMeansFeatures]:
+    """FT4: Spark ML's KMeans (``k-means||`` seeding) for every k and restart; the best restart of each k.
+
+    Inputs are standardised (population std) and rows with a missing input
+    left out; the vectors are written once to the checkpoint folder and read
+    by all fits, of which ``parallelism`` run at a time.  The best restart has
+    the lowest cost (ties: lowest seed); centres are put in lexicographic order,
+    so that labels don't depend on the seed's numbering.
     """
     cols = list(cols)
-    d = len(cols)
-    means, stds, raw_stds = standardize_exprs(df, cols, with_raw=True)
-    scaled = df.select(*[((F.col(c).cast("double") - F.lit(m)) / F.lit(s)).alias(f"x{i}")
-                         for i, (c, m, s) in enumerate(zip(cols, means, stds))])
-    xcols = [f"x{i}" for i in range(d)]
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if scaled.rdd.getNumPartitions() < par:
-        scaled = scaled.repartition(par)   # every pass is CPU work: use all cores
-    # reliable checkpoint (survives executor loss) plus an in-memory copy for
-    # the ~tens of passes; a lost cached block is re-read from the checkpoint
-    vec = cut_lineage(scaled).persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    n = vec.count()
-    sets = [(k, r) for k in ks for r in range(restarts)]
-    centers = _init_centers(vec, xcols, n, sets, seed)
-    # tolerance scale = mean variance of the standardised inputs: 1 for a
-    # column with a nonzero population std, 0 for a constant / empty one --
-    # known from the moments already computed, so no extra pass
-    threshold = tol * float(np.mean([1.0 if v else 0.0 for v in raw_stds]))
-    active = [True] * len(sets)
-    costs = [float("inf")] * len(sets)
-    for self_iter in range(max_iter):
-        live = [i for i, a in enumerate(active) if a]
-        if not live:
-            break
-        snapshot = {i: centers[i] for i in live}
-
-        live_sets = list(snapshot)
-        stacked = np.vstack([snapshot[i] for i in live_sets])          # (sum k, d)
-        sizes = [snapshot[i].shape[0] for i in live_sets]
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
-        set_of = np.repeat(np.arange(len(live_sets)), sizes)
-        j_of = np.concatenate([np.arange(k) for k in sizes])
-
-        def step(batches, stacked=stacked, sizes=sizes, starts=starts, set_of=set_of,
-                 j_of=j_of, live_sets=live_sets):
-            # all live centre sets in one matmul per batch; partial sums are
-            # accumulated over the whole partition and emitted once
-            import pandas as pd
-            total_k = stacked.shape[0]
-            c2 = (stacked * stacked).sum(axis=1)
-            acc_sum = np.zeros((total_k, d))
-            acc_n = np.zeros(total_k)
-            acc_sse = np.zeros(total_k)
-            seen = False
-            for pdf in batches:
-                x = pdf[xcols].to_numpy(dtype=float)
-                x = x[~np.isnan(x).any(axis=1)]     # rows with a missing input are not fitted
-                if len(x) == 0:
-                    continue
-                seen = True
-                xx = (x * x).sum(axis=1)
-                dist = xx[:, None] - 2.0 * (x @ stacked.T) + c2[None, :]
-                rows = np.arange(len(x))
-                hit = np.zeros((len(x), total_k))
-                for s0, kk in zip(starts, sizes):
-                    part = dist[:, s0:s0 + kk]
-                    lab = part.argmin(axis=1)
-                    hit[rows, s0 + lab] = 1.0
-                    acc_sse[s0:s0 + kk] += np.bincount(
-                        lab, weights=np.maximum(part[rows, lab], 0.0), minlength=kk)
-                acc_sum += hit.T @ x
-                acc_n += hit.sum(axis=0)
-            if seen:
-                # one flat partial per partition: per stacked centre [n, sse, sums]
-                flat = np.concatenate([acc_n[:, None], acc_sse[:, None], acc_sum], axis=1)
-                yield pd.DataFrame({"b": [TaskContext.get().partitionId() % _REDUCE_BUCKETS],
-                                    "v": [flat.ravel()]})
-
-        # two-level tree sum: partials meet first in <= _REDUCE_BUCKETS groups,
-        # then one final row -- no single task receives every partition's partial
-        tot = (vec.mapInPandas(step, "b int, v array<double>")
-                  .groupBy("b").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
-                  .agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"])
-        tot = (np.zeros((len(set_of), d + 2)) if tot is None
-               else np.asarray(tot.toArray()).reshape(len(set_of), d + 2))
-        agg = [{"s": live_sets[set_of[r]], "j": int(j_of[r]), "n": tot[r, 0], "sse": tot[r, 1],
-                **{f"c{i}": tot[r, 2 + i] for i in range(d)}} for r in range(len(set_of))]
-        new = {i: centers[i].copy() for i in live}
-        sse = {i: 0.0 for i in live}
-        for r in agg:
-            if r["n"] > 0:
-                new[r["s"]][r["j"]] = np.array([r[f"c{i}"] for i in range(d)]) / r["n"]
-            sse[r["s"]] += r["sse"]
-        for i in live:
-            costs[i] = sse[i]
-            shift = float(((new[i] - centers[i]) ** 2).sum())
-            centers[i] = new[i]
-            if shift <= threshold:
-                active[i] = False
-    vec.unpersist()
-    results = []
-    _LAST_ITERATIONS[0] = self_iter + 1
+    means, stds = standardize_exprs(df, cols)
+    scaled = df.select(_standardised(cols, means, stds).alias("_z")).where(~F.exists("_z", lambda v: v.isNull()))
+    vec = write_stage(scaled.select(array_to_vector("_z").alias("features")), "kmeans")
+
+    def fit(k_and_restart):
+        k, r = k_and_restart
+        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vec)
+        return k, model.summary.trainingCost, r, np.array(model.clusterCenters())
+
+    with ThreadPool(parallelism) as pool:
+        done = pool.map(inheritable_thread_target(df.sparkSession)(fit), [(k, r) for k in ks for r in range(restarts)])
+    out = []
     for k in ks:
-        idx = [i for i, (kk, _) in enumerate(sets) if kk == k]
-        best = min(idx, key=lambda i: (costs[i], sets[i][1]))
-        cen = centers[best]
-        order = np.lexsort(cen.T[::-1])
-        results.append(KMeansFeatures(cols, means, stds, cen[order], float(costs[best])))
-    return results
+        cost, _, centers = min((x[1:] for x in done if x[0] == k), key=lambda x: x[:2])
+        if len(centers) < k:
+            raise ValueError(f"fewer than {k} distinct rows")
+        out.append(KMeansFeatures(cols, means, stds, centers[np.lexsort(centers.T[::-1])], float(cost)))
+    return out
 
 
 # FT6 -----------------------------------------------------------------------
@@ -392,11 +202,15 @@ class PCAFeatures:
     explained: np.ndarray
 
     def transform(self, df: DataFrame, prefix: str = "pca_") -> DataFrame:
-        """FT6 applied with one batched projection per row (see ``_dense_udf``)."""
-        udf = _dense_udf(self.means, self.stds, self.loadings, "project")
-        arr = df.withColumn("_pca_arr", udf(_inputs(self.cols)))
-        return arr.select("*", *[F.col("_pca_arr")[j].alias(f"{prefix}{j + 1}")
-                                 for j in range(self.loadings.shape[1])]).drop("_pca_arr")
+        """FT6: one array of the standardised inputs, and a dot product with each component."""
+        staged = df.withColumn("_pz", _standardised(self.cols, self.means, self.stds))
+
+        def project(loading):
+            terms = F.zip_with("_pz", F.lit([float(v) for v in loading]), lambda a, b: a * b)
+            return F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
+
+        return staged.select("*", *[project(self.loadings[:, j]).alias(f"{prefix}{j + 1}")
+                                    for j in range(self.loadings.shape[1])]).drop("_pz")
 
     def exprs(self, prefix: str = "pca_") -> list[Column]:
         """The same projection as column arithmetic (for a few inputs)."""

@@ -7,7 +7,6 @@ parallel.  Spreadsheet decoding itself is not rebuilt (see README).
 
 from __future__ import annotations
 
-import glob
 from collections.abc import Sequence
 from functools import reduce
 
@@ -44,15 +43,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def expand_inputs(inputs: str | Sequence[str]) -> list[str]:
-    """IO3: expand wildcards in every input; an empty match is an error."""
-    items = [inputs] if isinstance(inputs, str) else list(inputs)
+def expand_inputs(spark: SparkSession, inputs: str | Sequence[str]) -> list[str]:
+    """IO3: expand the wildcards of every input on the file system it names.
+
+    Each input must match a file: one that matches nothing is an error, also
+    among others that do.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     out: list[str] = []
-    for item in items:
-        hits = sorted(glob.glob(item)) if any(ch in item for ch in "*?[") else [item]
-        out.extend(hits)
+    for item in [inputs] if isinstance(inputs, str) else list(inputs):
+        path = jvm.org.apache.hadoop.fs.Path(item)
+        hits = path.getFileSystem(conf).globStatus(path)
+        if not hits:
+            raise FileNotFoundError(f"no input files match {item!r}")
+        out += sorted(h.getPath().toString() for h in hits)
     if not out:
-        raise FileNotFoundError(f"no input files match {inputs!r}")
+        raise FileNotFoundError("no inputs")
     return out
 
 
@@ -92,14 +98,19 @@ def ingest(spark: SparkSession, inputs: str | Sequence[str], schema=None, sep: s
            source_col: str | None = "source_file") -> DataFrame:
     """IO3: expand, read every file, clean each (PR7, PR9, PR8) and union (ST1).
 
-    Files are read as separate scans because their headers may differ; the
-    union is one plan.  ``source_col`` records the originating file.
+    Files are read as separate scans because their headers may differ.  Which
+    of a file's columns are empty (PR8) comes from one aggregate over the union
+    of all files, not from a job for each.  ``source_col`` records the file.
     """
-    frames = []
-    for path in expand_inputs(inputs):
-        df = placeholder_headers(read_csv(spark, path, schema=schema, sep=sep))
-        df = drop_empty(df)
-        if source_col:
-            df = df.withColumn(source_col, F.lit(path))
-        frames.append(df)
-    return union_by_name(frames)
+    paths = expand_inputs(spark, inputs)
+    frames = [drop_all_null_rows(placeholder_headers(read_csv(spark, path, schema=schema, sep=sep))) for path in paths]
+    every = union_by_name([df.select(F.lit(i).alias("_file"), *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+                           for i, df in enumerate(frames)])
+    names = [c for c in every.columns if c != "_file"]
+    counts = {r[0]: r[1:] for r in every.groupBy("_file").agg(*[F.count(F.col(f"`{c}`")) for c in names]).collect()}
+    out = []
+    for i, (path, df) in enumerate(zip(paths, frames)):
+        full = {c for c, n in zip(names, counts.get(i, [0] * len(names))) if n}
+        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c in full])
+        out.append(df.withColumn(source_col, F.lit(path)) if source_col else df)
+    return union_by_name(out)

@@ -63,7 +63,7 @@ def test_csv_round_trip_and_ingest(spark, tmpdir_path):
     rows = back.collect()
     assert len(rows) == 2 and rows[0]["k"] == "PRISHTËNË"
     with pytest.raises(FileNotFoundError):
-        IO.expand_inputs(os.path.join(tmpdir_path, "nothing*.csv"))
+        IO.expand_inputs(spark, os.path.join(tmpdir_path, "nothing*.csv"))
 
 
 def test_placeholder_headers_unique(spark):
