@@ -53,14 +53,36 @@ def _long(wide: DataFrame, rows: list[Column]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+def kind_is_float(df: DataFrame, c: str) -> bool:
+    return df.schema[c].dataType.typeName() in ("double", "float")
+
+
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None,
                  distinct: str = "exact") -> DataFrame:
     """AG1 + R3: ``column, kind, nulls, null_pct, n_distinct`` in one pass.
 
-    ``distinct="approx"`` uses HyperLogLog (no Expand of the input per column).
+    Exact distinct counts unpivot the columns in the row and combine
+    ``(column, value)`` before the shuffle, whatever the number of columns;
+    ``distinct="approx"`` uses HyperLogLog.
     """
     cols = list(cols or df.columns)
-    dcount = F.count_distinct if distinct == "exact" else F.approx_count_distinct
+    if distinct == "exact":
+        # text of a value; adding zero gives both zeros of a float one text
+        text = [(F.col(c) + F.lit(0.0) if kind_is_float(df, c) else F.col(c)).cast("string").alias(f"v{i}")
+                for i, c in enumerate(cols)]
+        missing = [F.when(is_missing(df, c), 1).otherwise(0) for c in cols]
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), t.alias("v"), m.alias("m")) for i, (t, m) in enumerate(zip(text, missing))])
+        values = df.select(F.explode(cells).alias("_x")).groupBy("_x.i", "_x.v").agg(
+            F.count(F.lit(1)).alias("_c"), F.sum("_x.m").alias("_m"))
+        per = values.groupBy("i").agg(F.sum("_c").alias("_n"), F.sum("_m").cast("bigint").alias("nulls"),
+                                      F.count("v").cast("bigint").alias("n_distinct"))
+        names = df.sparkSession.createDataFrame(
+            [(i, c, kind_of(df.schema[c].dataType)) for i, c in enumerate(cols)], "i int, column string, kind string")
+        return names.join(F.broadcast(per), "i", "left").select(   # one row per column: a proven bound
+            "column", "kind", F.coalesce("nulls", F.lit(0).cast("bigint")).alias("nulls"),
+            (F.lit(100.0) * F.try_divide("nulls", "_n")).alias("null_pct"),
+            F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"))
+    dcount = F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         aggs.append(F.count_if(is_missing(df, c)).alias(f"_null{i}"))

@@ -3,26 +3,28 @@
 Membership is a function of a stable md5 hash of the row key, so a split is
 reproducible under re-partitioning, retries and executor loss (``rand()`` is
 not).  The stratified split is exact per stratum: the test rows of a stratum
-are the ``round(test_size * n)`` smallest ``(hash, key)`` values, found with
-the range-partitioned ranked histogram -- never a window over a whole stratum.
+are the ``round(test_size * n)`` smallest ``(hash, key)`` values.  Counts per
+hash prefix (at most 65,536 a stratum, combined before the shuffle) say in which
+prefix the cut falls, and only that prefix's rows are ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bins import fit_quantile_binner
 from .encode import fold_of, stable_hash
 from .lookup import Lookup
-from .order_stats import _C, _N, _RANK0, ranked_histogram
+from .order_stats import _C, _RANK0, ranked_histogram
 
 TEST_SIZE = 0.2     # SP1 / SP2
 STRATA_BINS = 5     # SP1: quintiles of the target
 KFOLDS = 3          # SP3
 SEED = 42
+PREFIX_SHIFT = 16   # of the 32 hash bits, the upper 16 are the prefix
 
 
 def holdout_flag(key: Sequence[str], test_pct: int = int(TEST_SIZE * 100),
@@ -47,12 +49,21 @@ def stratified_split(df: DataFrame, target: str, key: Sequence[str],
     order = F.struct(stable_hash(key, seed).alias("h"),
                      *[F.col(c).alias(f"k{i}") for i, c in enumerate(key)])
     tagged = df.select("*", binner.bin_col(target).alias("stratum"), order.alias("_sord"))
-    ranked = ranked_histogram(tagged.select("stratum", "_sord"), "_sord", ["stratum"])
-    n_test = F.round(F.col(_N) * F.lit(float(test_size)))
-    # the last test row of each stratum: tiny table (one row per stratum)
-    cut = ranked.where((F.col(_RANK0) < n_test) & (n_test <= F.col(_RANK0) + F.col(_C))) \
-                .select("stratum", F.col("_sord").alias("_scut"))
-    lut = Lookup.materialise(cut)
+    tagged = tagged.withColumn("_sp", F.shiftright(F.col("_sord.h").cast("bigint"), PREFIX_SHIFT))
+    counts = tagged.groupBy("stratum", "_sp").agg(F.count(F.lit(1)).alias("_c"))
+    own = Window.partitionBy("stratum")
+    counts = counts.select("stratum", "_sp", "_c", F.sum("_c").over(own).alias("_n"), F.coalesce(F.sum("_c").over(
+        own.orderBy("_sp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    n_test = F.round(F.col("_n") * F.lit(float(test_size)))
+    # one row per stratum: the prefix that holds the cut, and how many of its rows are test rows
+    lut = Lookup.materialise(
+        counts.where((F.col("_before") < n_test) & (n_test <= F.col("_before") + F.col("_c")))
+              .select("stratum", F.col("_sp").alias("_pcut"), (n_test - F.col("_before")).alias("_need")))
+    near = lut.join_to(tagged.select("stratum", "_sp", "_sord"), "stratum", "inner").where("_sp = _pcut")
+    ranked = ranked_histogram(near.select("stratum", "_sord"), "_sord", ["stratum"])
+    cut = lut.join_to(ranked, "stratum", "inner").where(
+        (F.col(_RANK0) < F.col("_need")) & (F.col("_need") <= F.col(_RANK0) + F.col(_C)))
+    lut = Lookup.materialise(cut.select("stratum", "_pcut", F.col("_sord").alias("_scut")))
     out = lut.join_to(tagged, "stratum", "left")
-    flag = F.coalesce((F.col("_sord") <= F.col("_scut")).cast("int"), F.lit(0))
-    return out.withColumn("is_test", flag).drop("_sord", "_scut")
+    flag = (F.col("_sp") < F.col("_pcut")) | ((F.col("_sp") == F.col("_pcut")) & (F.col("_sord") <= F.col("_scut")))
+    return out.withColumn("is_test", F.coalesce(flag.cast("int"), F.lit(0))).drop("_sord", "_sp", "_scut", "_pcut")
