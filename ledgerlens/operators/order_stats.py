@@ -9,10 +9,12 @@ through one primitive, ``ranked_histogram``:
 1. ``groupBy(by, v).count()`` -- duplicates collapse map-side (partial agg);
 2. ``repartitionByRange(P, by, v)`` -- a hot group is split over many range
    partitions because the bounds are on ``(by, v)``;
-3. reliable checkpoint -- fixes the partition id of every row (a lost
+3. a running count down each sorted range partition, in Arrow batches, before
+   the cut (the rows are where they have to be: no window, no exchange);
+4. reliable checkpoint -- fixes the partition id of every row (a lost
    executor cannot re-sample different range bounds);
-4. running count per ``(partition, group)`` plus per-partition offsets from a
-   table of at most ``P + #groups`` rows.
+5. per-partition offsets from a table of at most ``P + #groups`` rows, counted
+   and broadcast under the lookups' limit.
 
 The result is every distinct ``(group, value)`` with its exact 0-based rank
 interval ``[rank0, rank0 + count)`` and the group size.  Quantiles select the
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .lookup import Lookup
+from .lookup import DEFAULT_BROADCAST_ROWS, Lookup
 
 _C, _PID, _RANK0, _N = "_oc", "_opid", "_orank0", "_on"
 
@@ -74,24 +76,41 @@ def ranked_histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
         df = df.where(~F.isnan(value))
     hist = (df.where(F.col(value).isNotNull())
               .groupBy(*by, value).agg(F.count(F.lit(1)).alias(_C)))
-    ranged = cut_lineage(
-        hist.repartitionByRange(_partitions(df), *[F.col(c).asc_nulls_first() for c in by],
-                                F.col(value).asc())
-            .withColumn(_PID, F.spark_partition_id()))
-    w_local = (Window.partitionBy(_PID, *by).orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    local = ranged.withColumn("_obefore", F.coalesce(F.sum(_C).over(w_local), F.lit(0)))
-    summary = ranged.groupBy(_PID, *by).agg(F.sum(_C).alias("_opart"))
+    order = [F.col(c).asc_nulls_first() for c in by] + [F.col(value).asc()]
+    ranged = (hist.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
+                  .withColumn(_PID, F.spark_partition_id()).withColumn("_obefore", F.lit(0).cast("bigint")))
+    ranged = cut_lineage(ranged.mapInArrow(_running_counts(ranged.columns), ranged.schema))
+    # a group's rows in a partition follow each other: its first running count is what came before it there
+    summary = ranged.groupBy(_PID, *by).agg(F.sum(_C).alias("_opart"), F.min("_obefore").alias("_ostart"))
     w_off = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.select(
+    offsets = Lookup.materialise(summary.select(
         _PID, *by,
-        F.coalesce(F.sum("_opart").over(w_off), F.lit(0)).alias("_ooffset"),
-        F.sum("_opart").over(Window.partitionBy(*by)).alias(_N))
-    joined = null_safe_join(local, offsets, [_PID, *by], "inner")
+        (F.coalesce(F.sum("_opart").over(w_off), F.lit(0)) - F.col("_ostart")).alias("_ooffset"),
+        F.sum("_opart").over(Window.partitionBy(*by)).alias(_N)))
+    joined = null_safe_join(ranged, offsets.df, [_PID, *by], "inner",
+                            broadcast_right=offsets.rows <= DEFAULT_BROADCAST_ROWS)
     return joined.select(*by, value, _C,
                          (F.col("_ooffset") + F.col("_obefore")).alias(_RANK0), _N)
 
 
+def _running_counts(columns: Sequence[str]):
+    """Arrow task: ``_obefore`` becomes the sum of ``_oc`` over the partition's earlier rows."""
+    count, before = list(columns).index(_C), list(columns).index("_obefore")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = 0
+        for batch in batches:
+            c = batch.column(count).to_numpy()
+            sums = total + np.cumsum(c)
+            total = int(sums[-1]) if len(sums) else total
+            yield batch.set_column(before, batch.schema.field(before), pa.array(sums - c, pa.int64()))
+
+    return run
+
+
 def _contains(rank: Column) -> Column:
     return (F.col(_RANK0) <= rank) & (rank < F.col(_RANK0) + F.col(_C))
 

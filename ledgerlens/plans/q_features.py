@@ -60,7 +60,7 @@ s AS (SELECT municipality, count(amount) AS n, avg(amount) AS m FROM facts GROUP
 SELECT municipality, {srnd(f'(n * m + {float(EN.M_ESTIMATE_M)!r} * prior) / (n + {float(EN.M_ESTIMATE_M)!r})')} AS municipality_te
 FROM s, p""")
 def en1_m_estimate(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=("municipality", "amount"))
     model = EN.fit_target_encoder(f, ["municipality"], "amount", mode="m_estimate")
     return model.tables["municipality"].df.select(
         "municipality", rnd("_te_enc").alias("municipality_te"))
@@ -98,7 +98,7 @@ SELECT {KEY_SQL}, """ + ",\n".join(
     srnd(f"CAST(count({c}) OVER (PARTITION BY {c}) AS DOUBLE) / count({c}) OVER ()") + f" AS {c}_freq"
     for c in _CATS) + "\nFROM facts")
 def en2_freq(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=_CATS)
     model = EN.fit_frequency_encoder(f, list(_CATS))
     out = model.transform(f)
     return out.select(*KEY, *[rnd(f"{c}_freq").alias(f"{c}_freq") for c in _CATS])
@@ -113,7 +113,7 @@ SELECT DISTINCT r.municipality, {srnd('r.te')} AS municipality_te, {srnd('fr.fre
 FROM rows_ r JOIN fr ON r.te = fr.te""")
 def en2_freq_on_encoded(spark: SparkSession, sf: str) -> DataFrame:
     """F3 parity: the frequency encoder keyed on the target-encoded floats."""
-    f = facts(spark, sf, materialize=True).select("municipality", F.col("municipality").alias("_orig"), "amount")
+    f = facts(spark, sf, materialize=True, columns=("municipality", "amount")).select("municipality", F.col("municipality").alias("_orig"), "amount")
     te = EN.fit_target_encoder(f, ["municipality"], "amount", inplace=True).transform(f)
     fr = EN.fit_frequency_encoder(te, ["municipality"]).transform(te)
     return fr.select(F.col("_orig").alias("municipality"),
@@ -135,7 +135,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_unlabeled,
        CAST(count(DISTINCT legal_basis) AS BIGINT) AS n_labels
 FROM facts""")
 def r20_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=("legal_basis",))
     return EN.label_roundtrip(f, "legal_basis", EN.fit_label_encoder(f, ["legal_basis"]))
 
 
@@ -247,7 +247,7 @@ SELECT bin, CAST(count(*) AS BIGINT) AS n FROM b GROUP BY bin"""
 
 
 def _qcut_query(spark: SparkSession, sf: str, col: str, q: int = 10) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=(col,))
     binner = fit_quantile_binner(f, [col], q=q)
     return (f.select(binner.bin_col(col).alias("bin")).where(F.col("bin").isNotNull())
              .groupBy("bin").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
@@ -287,7 +287,7 @@ def _group_cols(key: str, cols: list[str]) -> list[str]:
 
 @query("ag5_group_stats", _group_sql("legal_basis", ["fines", "taxpayers"]), headline=True)
 def ag5_group_stats(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=("legal_basis", "fines", "taxpayers"))
     out = add_group_stats(f, "legal_basis", ["fines", "taxpayers"])
     return out.select(*KEY, *[rnd(c).alias(c) for c in _group_cols("legal_basis", ["fines", "taxpayers"])])
 
@@ -296,7 +296,7 @@ def ag5_group_stats(spark: SparkSession, sf: str) -> DataFrame:
 SELECT {KEY_SQL}, {srnd('CAST(rank() OVER (PARTITION BY municipality ORDER BY amount) AS DOUBLE) / count(*) OVER (PARTITION BY municipality)')} AS rank_pct_amount_by_municipality
 FROM facts""", headline=True)
 def wn1_rank_pct(spark: SparkSession, sf: str) -> DataFrame:
-    f = facts(spark, sf, materialize=True)
+    f = facts(spark, sf, materialize=True, columns=("municipality", "amount"))
     out = add_group_stats(f, "municipality", ["amount"], stats=("mean",), dev=False)
     return out.select(*KEY, rnd("rank_pct_amount_by_municipality").alias("rank_pct_amount_by_municipality"))
 
@@ -395,7 +395,7 @@ def _rff_sql() -> str:
 @query("ft3_rff", _rff_sql())
 def ft3_rff(spark: SparkSession, sf: str) -> DataFrame:
     """FT1 robust scaling of (fines, taxpayers), then FT3 random Fourier features."""
-    f = facts(spark, sf, materialize=True).select(*KEY, "fines", "taxpayers")
+    f = facts(spark, sf, materialize=True, columns=("fines", "taxpayers"))
     scaled = fit_robust_scaler(f, ["fines", "taxpayers"]).transform(f)
     cols = []
     for g in RFF_GAMMAS:
