@@ -18,12 +18,16 @@ from ledgerlens.session import get_spark  # noqa: E402
 
 EXTRA = ["en1_target_sigmoid", "en2_freq", "sc12_qcut10", "r4_numeric_profile", "r17_history",
          "ft3_rff", "ag15_kde", "tk5_best"]
+# fitted queries: KMeans, forest, permutation importances
+FITTED = ["ft4_kmeans", "md2_forest", "ev4_perm_importance"]
+# minutes each at sf0.1: only with BENCH_ALL=1
+LONG = ["e1_features", "md5_boost", "tn1_search", "main_flow"] if os.environ.get("BENCH_ALL") else []
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = [n for n in HEADLINE + EXTRA if n in QUERIES]
+    names = [n for n in HEADLINE + EXTRA + FITTED + LONG if n in QUERIES]
     spark = get_spark("ledgerlens-bench", master=f"local[{cpus}]",
                       shuffle_partitions=max(8, 2 * int(cpus)))
     # JVM / codegen warm-up on the smallest table, not timed
