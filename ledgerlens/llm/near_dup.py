@@ -113,77 +113,113 @@ def shingle_sets(column) -> tuple:
     return *tk.counted(*tk.shingles(h, at, SHINGLE)), keys
 
 
+def _bands(doc, elem, count, keys, bands: int, rows: int) -> pa.Array:
+    """A list of one hash for each band of the sets' signatures."""
+    sig = dart_signatures(doc, elem, count.astype(np.float64), len(keys), bands * rows).reshape(len(keys), bands, rows)
+    band = np.broadcast_to(tk.mix(np.arange(1, bands + 1, dtype=U)), (len(keys), bands))
+    for r in range(rows):
+        band = tk.mix(band ^ sig[:, :, r])
+    flat = pa.array(np.ascontiguousarray(band).reshape(-1).view(np.int64))
+    return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, bands, dtype=np.int32), flat)
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, text_hash, node (key of its words, null without words), bands."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                          F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("text_hash", T.LongType()),
                            T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    k = bands * rows
 
     def run(batches):
         for part in tk.slices(batches):
-            doc, elem, count, keys = shingle_sets(part.column(2))
-            sig = dart_signatures(doc, elem, count.astype(np.float64), len(keys), k).reshape(len(keys), bands, rows)
-            band = np.broadcast_to(tk.mix(np.arange(1, bands + 1, dtype=U)), (len(keys), bands))
-            for r in range(rows):
-                band = tk.mix(band ^ sig[:, :, r])
-            flat = pa.array(np.ascontiguousarray(band).reshape(-1).view(np.int64))
-            lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, bands, dtype=np.int32), flat)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), lists],
-                                             names=["doc_id", "text_hash", "node", "bands"])
+            sets = shingle_sets(part.column(2))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(sets[3], pa.binary()), _bands(*sets, bands, rows)],
+                names=["doc_id", "text_hash", "node", "bands"])
 
     return map_arrow(source, run, schema)
 
 
-def _similarities(left, right) -> np.ndarray:
-    """Weighted Jaccard similarity of each row's two texts."""
+def _compared(left, right):
+    """Of each row's two texts: shared weight, both weights; and what the left has beyond the right: (row, shingle, weight)."""
     n = len(left)
     d1, e1, c1, _ = shingle_sets(left)
     d2, e2, c2, _ = shingle_sets(right)
     doc, elem, count = np.concatenate([d1, d2]), np.concatenate([e1, e2]), np.concatenate([c1, c2])
-    order = np.lexsort((elem, doc))
-    d, e, c = doc[order], elem[order], count[order]
+    own = np.concatenate([np.ones(len(d1), bool), np.zeros(len(d2), bool)])
+    order = np.lexsort((~own, elem, doc))
+    d, e, c, own = doc[order], elem[order], count[order], own[order]
     same = np.flatnonzero((d[1:] == d[:-1]) & (e[1:] == e[:-1])) if len(d) else np.zeros(0, np.int64)
     shared = np.bincount(d[same], weights=np.minimum(c[same], c[same + 1]), minlength=n)
-    total = np.bincount(doc, weights=count, minlength=n)
-    return shared / np.maximum(total - shared, 1)
+    beyond = np.where(own, c, 0)
+    beyond[same] = np.maximum(0, c[same] - c[same + 1])
+    more = beyond > 0
+    return shared, np.bincount(d1, weights=c1, minlength=n), np.bincount(d2, weights=c2, minlength=n), d[more], e[more], beyond[more]
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, lead) with both texts; texts: (node, text)."""
+    return (pairs.select("node", "lead").join(texts, "node")
+            .join(texts.select(F.col("node").alias("lead"), F.col("text").alias("lead_text")), "lead")
+            .select("node", "lead", "text", "lead_text"))
 
 
 def _settle(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact similarity of (node, lead) pairs; texts: (node, text)."""
-    with_left = pairs.join(texts, "node")
-    both = with_left.join(texts.select(F.col("node").alias("lead"), F.col("text").alias("lead_text")), "lead")
+    """Exact similarity of (node, lead) pairs, with the shared weight and both weights."""
+    numbers = ["sim", "shared", "weight", "lead_weight"]
+    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("lead", T.BinaryType()),
+                           *(T.StructField(n, T.DoubleType()) for n in numbers)])
+
+    def run(batches):
+        for part in tk.slices(batches, ("text", "lead_text")):
+            shared, w, lw, *_ = _compared(part.column(2), part.column(3))
+            columns = [pa.array(x) for x in (shared / np.maximum(w + lw - shared, 1), shared, w, lw)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=schema.names)
+
+    return map_arrow(_with_texts(pairs, texts), run, schema)
+
+
+def _own_shingles(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, lead, shingle, extra) for what each node has beyond its lead; extra: by how much weight."""
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("lead", T.BinaryType()),
-                           T.StructField("sim", T.DoubleType())])
+                           T.StructField("shingle", T.LongType()), T.StructField("extra", T.DoubleType())])
 
     def run(batches):
         for part in tk.slices(batches, ("text", "lead_text")):
-            sim = _similarities(part.column(2), part.column(3))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sim)],
-                                             names=["node", "lead", "sim"])
+            *_, row, elem, extra = _compared(part.column(2), part.column(3))
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(elem.view(np.int64)),
+                                              pa.array(extra.astype(np.float64))], names=schema.names)
 
-    return map_arrow(both.select("node", "lead", "text", "lead_text"), run, schema)
+    return map_arrow(_with_texts(pairs, texts), run, schema)
 
 
 def links(sketched: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-          similarity: float = SIMILARITY, star_rounds: int = 3) -> DataFrame:
+          similarity: float = SIMILARITY, few: int = 64, holders: int = 16) -> DataFrame:
     """(u, v) of different texts at or above the threshold: as many as join what is similar, not all pairs.
 
-    In every bucket of a band all members are compared with the bucket's
-    smallest node.  Members that it doesn't link go on to the next round with
-    a smallest node of their own, together with those linked members that the
-    triangle inequality of the Jaccard distance leaves in reach (a and b can
-    be within 1 - s of each other only if their distances to a third text
-    differ by no more).  What is left after ``star_rounds`` is compared in
-    pairs under the same bound, so that no link inside a bucket is lost.
+    In every bucket of a band all members are compared with one lead: the
+    member that meets most others in all its buckets, such as the text that
+    the others were copied from.  Members that it links need no more links
+    among each other.  A member b that it doesn't link may still be near
+    another member a; such pairs have the lead in common, and their
+    similarities to it differ by at most 1 - similarity (triangle inequality).
+    Around a lead with few of them they are compared in pairs.  Around others,
+    let K be the lead's shingles and those beyond it that more than ``holders``
+    members hold.  Two members either share a shingle outside K, by which they
+    are joined (at most ``holders`` rows each), or what they share lies in K:
+    then it weighs at most what either of them has in K, which bounds their
+    similarity by three weights and leaves few pairs.  So no link is lost.
     """
     far = 1 - similarity + 1e-9
     exploded = sketched.where("node is not null").select("node", F.explode("bands").alias("b"))
-    buckets = exploded.groupBy("b").agg(F.min("node").alias("lead"), F.max("node").alias("other"))
-    buckets = buckets.where("lead <> other").select("b", "lead")
-    members = scratch.write(exploded.join(buckets, "b").where("node <> lead").distinct(), "members")
-    involved = members.select("node").unionByName(members.select(F.col("lead").alias("node"))).distinct()
+    buckets = exploded.groupBy("b").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    members = scratch.write(exploded.join(buckets.where("low <> high").select("b"), "b").distinct(), "members")
+    met = members.join(members.groupBy("b").agg(F.count("*").alias("n")), "b").groupBy("node").agg(F.sum("n").alias("met"))
+    leads = members.join(met, "node").groupBy("b").agg(F.max(F.struct("met", "node")).alias("lead"))
+    pairs = scratch.write(members.join(leads.select("b", F.col("lead.node").alias("lead"), F.col("lead.met").alias("met")), "b")
+                          .where("node <> lead").select("node", "lead", "met").distinct(), "pairs")
+    involved = pairs.select("node").unionByName(pairs.select(F.col("lead").alias("node"))).distinct()
     chosen = sketched.join(involved, "node").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x"))
     chosen = chosen.select("node", F.col("x.doc_id").alias("chosen_id"), F.col("x.text_hash").alias("chosen_hash"))
@@ -191,41 +227,51 @@ def links(sketched: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str =
     texts = scratch.write(
         own.join(chosen, own.doc_id.eqNullSafe(chosen.chosen_id) & (own.text_hash == chosen.chosen_hash))
         .select("node", "text").dropDuplicates(["node"]), "texts")
-
-    found, used = [], [members]
-    left = members.withColumn("linked", F.lit(False))
-    for _ in range(star_rounds):
-        settled = scratch.write(_settle(left.select("node", "lead").distinct(), texts), "settled")
-        found.append(settled.where(F.col("sim") >= similarity).select(F.col("node").alias("u"), F.col("lead").alias("v")))
-        known = left.join(settled, ["node", "lead"]).select(
-            "b", "node", (1 - F.col("sim")).alias("d"), (F.col("linked") | (F.col("sim") >= similarity)).alias("linked"))
-        rest = known.where("not linked").groupBy("b").agg(
-            F.min("node").alias("next"), F.min("d").alias("near"), F.max("d").alias("wide"))
-        ahead = known.join(rest, "b").where(
-            ~F.col("linked") | ((F.col("d") >= F.col("near") - far) & (F.col("d") <= F.col("wide") + far)))
-        left = scratch.write(ahead.where("node <> next").select("b", "node", F.col("next").alias("lead"), "linked", "d"), "left")
-        used.append(left)
-        if left.isEmpty():
-            break
-    else:
-        a = left.where("not linked").select("b", "node", "d")
-        b = left.select("b", F.col("node").alias("lead"), F.col("d").alias("e"), F.col("linked").alias("l"))
-        # d: distance to the last common leader but one; settled pairs may come again, which changes nothing
-        pairs = a.join(b, "b").where((F.abs(F.col("d") - F.col("e")) <= far) & (F.col("l") | (F.col("node") > F.col("lead"))))
-        leads = left.select("node", "lead")
-        settled = scratch.write(_settle(pairs.select("node", "lead").unionByName(leads).distinct(), texts), "settled")
-        found.append(settled.where(F.col("sim") >= similarity).select(F.col("node").alias("u"), F.col("lead").alias("v")))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    out = scratch.write(out.distinct(), "found")
-    scratch.drop(texts, *used)
+    settled = scratch.write(_settle(pairs, texts).withColumn("linked", F.col("sim") >= similarity), "settled")
+    found = settled.where("linked").select(F.col("node").alias("u"), F.col("lead").alias("v"))
+
+    # texts with one label are linked already: label is the lead that links the text, of several the one that met most
+    label = settled.join(pairs, ["node", "lead"]).where("linked").groupBy("node").agg(
+        F.max(F.struct("met", "lead"))["lead"].alias("label"))
+    around = settled.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = around.groupBy("lead").agg(
+        F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("apart"), (F.count("*") * F.sum(F.when(F.col("linked"), 0).otherwise(1))).alias("work"),
+        F.min("label").alias("low"), F.max("label").alias("high")).where("apart > 0 and low <> high")
+    around = scratch.write(around.join(groups.select("lead", "work"), "lead"), "around")
+
+    def meeting(left: DataFrame, right: DataFrame, key: list[str], near=None) -> DataFrame:
+        other = right.select(*key, *(F.col(c).alias(f"o_{c}") for c in ("node", "label", "linked", "sim", "weight", "shared")))
+        ok = (F.col("label") != F.col("o_label")) & (F.col("o_linked") | (F.col("node") > F.col("o_node"))) & (F.abs(F.col("sim") - F.col("o_sim")) <= far)
+        if near is not None:
+            ok = ok & near
+        return left.where("not linked").join(other, key).where(ok).select("node", F.col("o_node").alias("lead"))
+
+    small, large = around.where(F.col("work") <= few), around.where(F.col("work") > few)
+    more = meeting(small, small, ["lead"])
+    if not large.isEmpty():
+        beyond = scratch.write(_own_shingles(large, texts), "beyond")
+        held = beyond.join(large.select("node", "lead", "label", "linked"), ["node", "lead"]).groupBy("lead", "shingle").agg(
+            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(~F.col("linked")).alias("any"))
+        held = scratch.write(held.where("n > 1"), "held")
+        common = beyond.join(held.where(F.col("n") > holders).select("lead", "shingle"), ["lead", "shingle"])
+        within = large.join(common.groupBy("lead", "node").agg(F.sum("extra").alias("more")), ["lead", "node"], "left").withColumn(
+            "shared", F.col("shared") + F.coalesce("more", F.lit(0.0))).drop("more")
+        # a text alone: its best partner weighs as much as what they share
+        within = within.where(F.col("shared") >= (similarity - 1e-9) * F.col("weight"))
+        most = F.least("shared", "o_shared")
+        more = more.unionByName(meeting(within, within, ["lead"], most >= (similarity - 1e-9) * (F.col("weight") + F.col("o_weight") - most)))
+        rare = held.where((F.col("n") <= holders) & F.col("any") & (F.col("low") < F.col("high"))).select("lead", "shingle")
+        rare = scratch.write(beyond.join(rare, ["lead", "shingle"]).drop("extra").join(large, ["node", "lead"]), "rare")
+        more = more.unionByName(meeting(rare, rare, ["lead", "shingle"]))
+    more = _settle(scratch.write(more.distinct(), "more"), texts).where(F.col("sim") >= similarity)
+    out = scratch.write(found.unionByName(more.select(F.col("node").alias("u"), F.col("lead").alias("v"))), "found")
+    scratch.drop(members, pairs, texts, settled, around)
     return out
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
             bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: doc_id, text_hash, class_id, class_size, class_rows.
+    """One row per document: doc_id, text_hash, class_id, class_size.
 
     class_id is the smallest doc_id of the class, text_hash is xxhash64 of the
     text (with doc_id it finds the row again), class_size counts the rows of

@@ -82,8 +82,8 @@ def test_signature_agreement_estimates_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - exact) < 0.04
 
 
-@pytest.mark.parametrize("star_rounds", [1, 3])
-def test_hot_bucket_with_one_common_passage(spark, star_rounds):
+@pytest.mark.parametrize("few, holders", [(0, 16), (0, 2), (64, 16)])
+def test_hot_bucket_with_one_common_passage(spark, few, holders):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     passage = [word() for _ in range(60)]
@@ -91,7 +91,7 @@ def test_hot_bucket_with_one_common_passage(spark, star_rounds):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     scratch = near_dup.Scratch(spark, "t")
     sk = scratch.write(near_dup.sketch(df), "sketch")
-    links = near_dup.links(sk, df, scratch, star_rounds=star_rounds)
+    links = near_dup.links(sk, df, scratch, few=few, holders=holders)
     comp = near_dup.components(links, scratch)
     placed = sk.join(comp, "node", "left").selectExpr("doc_id", "coalesce(comp, node) comp").collect()
     groups = defaultdict(list)
