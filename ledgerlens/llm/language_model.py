@@ -12,11 +12,16 @@ probability is its pair's share of the word before (``PAIR_WEIGHT``; not at a
 text's start or after a word that the model hasn't met), interpolated with its
 own share, add-one smoothed over the vocabulary.
 
-Words and pairs are counted in hash tables of fixed size (2^``WORD_BITS`` and
-2^``PAIR_BITS`` counters a model), over all rows: inside each task, then by
-Spark's aggregation on the counter.  The tables' size is the proven bound of
-what the driver collects and broadcasts, whatever the corpus; words or pairs
-that fall on one counter share it.
+Words and pairs are counted exactly over all rows, by 63 bits of a hash (the
+64th tells words from pairs): inside each task, then by Spark's aggregation on
+the hash, into a table in the checkpoint folder.  The most frequent of them, at
+most ``HEAD``, are collected and broadcast; each document's other words and
+pairs are joined to the table.  With N words in the corpus a key outside the
+head occurs at most about 2.1 N / ``HEAD`` times, so no key is hot in the join.
+Pairs that occur once aren't written: a pair of the corpus that the table lacks
+has occurred once, in the document being scored.  A bitmap of fixed size
+(2^``SIEVE_BITS``) spares most such pairs the join.  So ``scored`` takes the
+corpus itself; for other documents, fit with ``others``, which writes all pairs.
 
 Edge cases.  Null and empty texts have no words: n_words 0 and null losses and
 score.  Rows with null or repeated ids count and are scored like others.
@@ -28,82 +33,158 @@ an empty result.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import tokens as tk
+from .scratch import Scratch
 from .ship import map_arrow, ship
 
 U = np.uint64
-WORD_BITS, PAIR_BITS = 19, 21
 LEAST = 2
 PAIR_WEIGHT = 0.5
+#: Words and pairs whose counts are broadcast at most (24 bytes each).
+HEAD = 1 << 20
+#: Bits of the bitmap of what the table holds beyond the head; when it fills up, only more rows go to the join.
+SIEVE_BITS = 27
+#: Classes of counts for each doubling, by which the head is cut.
+STEPS = 16
+#: Occurrences that a task counts at once.
+HELD = 1 << 21
 #: Up to so many ids of target documents are broadcast; beyond, documents and labels are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
 
-def slots(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Counters of each word and of the pair it ends (-1 at a text's start), text numbers, word offsets."""
+def hashed(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each word (odd) and of the pair it ends (even; 0 at a text's start), text numbers, word offsets."""
     data, offsets = tk.text_buffer(column)
     _, _, doc, h, at = tk.words(data, offsets, tk.ALNUM, tk.FOLDED)
-    word = (h >> U(64 - WORD_BITS)).astype(np.int64)
-    pair = np.full(len(h), -1, np.int64)
+    pair = np.zeros(len(h), U)
     if len(h) > 1:
-        pair[1:] = (tk.mix(h[:-1] * U(0x9E3779B97F4A7C15) + h[1:]) >> U(64 - PAIR_BITS)).astype(np.int64)
-        pair[at[:-1][at[:-1] < len(h)]] = -1
-    return word, pair, doc, at
+        pair[1:] = tk.mix(h[:-1] * U(0x9E3779B97F4A7C15) + h[1:]) & ~U(1)
+        pair[at[:-1][at[:-1] < len(h)]] = 0
+    return (h | U(1)).view(np.int64), pair.view(np.int64), doc, at
+
+
+def _marked(docs: DataFrame, ids: DataFrame | None, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, and t: whether it is a target document."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if ids is None:
+        return rows.withColumn("t", F.lit(False))
+    return rows.join(ids, rows["doc_id"] == ids["id"], "left").select("doc_id", "text", F.coalesce("t", F.lit(False)).alias("t"))
 
 
-def _counters(docs: DataFrame, target: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(slot, background, target) counts over all rows; pairs' slots follow the words'."""
+def _ids(target: DataFrame, id_col: str) -> DataFrame:
     ids = target.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("t", F.lit(True))
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left")
-    schema = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("b", T.LongType()), T.StructField("t", T.LongType())])
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """(key, b, t): how often the corpus and the target documents hold each word and pair."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "b", "t")])
+
+    def counted(held):
+        every, chosen = (np.concatenate(x) for x in zip(*held))
+        keys, b = np.unique(every, return_counts=True)
+        some, n = np.unique(chosen, return_counts=True)
+        t = np.zeros(len(keys), np.int64)
+        t[np.searchsorted(keys, some)] = n
+        for i in range(0, len(keys), 1 << 18):
+            j = slice(i, i + (1 << 18))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[j]), pa.array(b[j]), pa.array(t[j])], names=schema.names)
 
     def run(batches):
-        total = np.zeros((2, size), np.int64)
+        held, size = [], 0
         for part in tk.slices(batches):
-            word, pair, doc, _ = slots(part.column(0))
-            chosen = np.asarray(part.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)[doc]
-            for on, row in ((slice(None), 0), (chosen, 1)):
-                np.add.at(total[row], word[on], 1)
-                p = pair[on]
-                np.add.at(total[row], p[p >= 0] + (1 << WORD_BITS), 1)
-        used = np.flatnonzero(total[0])
-        for i in range(0, len(used), 1 << 18):
-            at = used[i:i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[0, at]), pa.array(total[1, at])], names=schema.names)
-
-    return map_arrow(rows.select("text", "t"), run, schema).groupBy("slot").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-
-
-def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Both models' counters: arrays of 2^WORD_BITS and 2^PAIR_BITS, collected under that bound."""
-    found = _counters(docs, target, id_col, text_col).select("slot", F.col("b").cast("double").alias("b"), F.col("t").cast("double").alias("t")).toArrow()
-    both = np.zeros((2, (1 << WORD_BITS) + (1 << PAIR_BITS)), np.float64)
-    slot = found.column("slot").to_numpy()
-    both[0, slot], both[1, slot] = found.column("b").to_numpy(), found.column("t").to_numpy()
-    return {"word": both[:, :1 << WORD_BITS].astype(np.float32), "pair": both[:, 1 << WORD_BITS:].astype(np.float32),
-            "total": both[:, :1 << WORD_BITS].sum(1), "kinds": int((both[0, :1 << WORD_BITS] >= LEAST).sum())}
-
-
-def losses(model: dict, column) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words, and each model's mean loss in bits (rows: target, background), of each text."""
-    word, pair, doc, at = slots(column)
+            word, pair, doc, _ = hashed(part.column(0))
+            good = part.column(1).to_numpy(zero_copy_only=False)[doc]
+            held.append((np.concatenate([word, pair[pair != 0]]), np.concatenate([word[good], pair[good & (pair != 0)]])))
+            size += len(held[-1][0])
+            if size >= HELD:
+                yield from counted(held)
+                held, size = [], 0
+        if size:
+            yield from counted(held)
+
+    return map_arrow(rows.select("text", "t"), run, schema).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+
+
+def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", others: bool = False) -> dict:
+    """Both models: the written table of counts, its head as arrays ordered by key, and the words' totals."""
+    spark, ids = docs.sparkSession, _ids(target, id_col)
+    word = F.col("key").bitwiseAND(1) == 1
+    kept = F.lit(True) if others else word | (F.col("b") > 1)
+    counts = Scratch(spark, "language-model").write(_counts(_marked(docs, ids, id_col, text_col)).where(kept), "counts")
+    # Spark deletes the counting's shuffle files, the largest here, once its plan is garbage
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    step = F.floor(F.log2("b") * STEPS)
+    b, t, kinds = counts.where(word).agg(F.sum("b"), F.sum("t"), F.count_if(F.col("b") >= LEAST)).first()
+    cut, size = 64 * STEPS, 0
+    for r in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
+        size += r["count"]
+        if size > HEAD:
+            break
+        cut = r["s"]
+    head = counts.where(step >= cut).toArrow()
+    head = [head.column(c).to_numpy() for c in ("key", "b", "t")]
+    order = np.argsort(head[0])
+    tail = counts.where(step < cut)
+    bit = F.shiftrightunsigned("key", 64 - SIEVE_BITS)
+    marks = tail.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
+    sieve = np.zeros(1 << SIEVE_BITS - 6, np.int64)
+    sieve[marks.column("at").to_numpy()] = marks.column("bits").to_numpy()
+    return {"tail": tail, "sieve": sieve.view(U), "head": [x[order] for x in head], "total": (b or 0, t or 0), "kinds": kinds,
+            "ids": None if others else ids}
+
+
+def _at(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
+    """Where ``sought`` stand among the ordered ``keys``; -1: nowhere."""
+    if not len(keys):
+        return np.full(len(sought), -1)
+    at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
+    return np.where(keys[at] == sought, at, -1)
+
+
+def _sifted(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False where the table holds no such key beyond the head."""
+    bit = keys.view(U) >> U(64 - SIEVE_BITS)
+    return (sieve[bit >> U(6)] >> (bit & U(63)) & U(1)).astype(bool)
+
+
+def losses(model: dict, column, found, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words, and each model's mean loss in bits (rows: target, background), of each text.
+
+    found: for each text, the (key, b, t) of those of its words and pairs that aren't in the head.
+    own: whether each text is a target document, if the texts are of the corpus.
+    """
+    word, pair, doc, at = hashed(column)
     n = np.diff(at)
-    before = np.where(pair >= 0, np.concatenate([[0], word[:-1]]) if len(word) else word, -1)
-    known = model["word"][0][word] >= LEAST
+    flat = pc.list_flatten(found)
+    tail, first = np.unique(flat.field("key").to_numpy(zero_copy_only=False), return_index=True)
+    counts = [[model["head"][i], flat.field(c).to_numpy(zero_copy_only=False)[first]] for i, c in ((1, "b"), (2, "t"))]
+
+    def looked_up(keys):
+        places = [_at(model["head"][0], keys), _at(tail, keys)]
+        out = np.zeros((2, len(keys)))
+        if own is not None:  # what the table lacks has occurred once, here
+            out[0], out[1] = 1, own[doc]
+        for k in (0, 1):
+            for place, values in zip(places, counts[k]):
+                out[k, place >= 0] = values[place[place >= 0]]
+        return out
+
+    single, pairs = looked_up(word), looked_up(pair)
     out = []
     for which in (1, 0):
-        single, pairs = model["word"][which], model["pair"][which]
-        p = (single[word].astype(np.float64) + 1) / (model["total"][which] + model["kinds"] + 1)
-        met = np.where(before >= 0, single[before], 0).astype(np.float64)
-        share = np.minimum(1.0, np.where(pair >= 0, pairs[pair], 0) / np.maximum(met, 1))
-        p = np.where(met > 0, PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * p, p)
-        p = np.where(known, p, 1 / (model["kinds"] + 1))
+        p = (single[which] + 1) / (model["total"][which] + model["kinds"] + 1)
+        met = np.where(pair != 0, np.concatenate([[0], single[which][:-1]]) if len(word) else 0, 0)
+        p = np.where(met > 0, PAIR_WEIGHT * pairs[which] / np.maximum(met, 1) + (1 - PAIR_WEIGHT) * p, p)
+        p = np.where(single[0] >= LEAST, p, 1 / (model["kinds"] + 1))
         out.append(np.bincount(doc, weights=-np.log2(p), minlength=len(n)) / np.maximum(n, 1))
     return n, np.stack(out)
 
@@ -111,18 +192,39 @@ def losses(model: dict, column) -> tuple[np.ndarray, np.ndarray]:
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, target_loss, background_loss, score of every document."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([source.schema["doc_id"], T.StructField("n_words", T.LongType()),
-                           *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
+    # written, so that each row keeps its number
+    rows = Scratch(spark, "language-model").write(
+        _marked(docs, model["ids"], id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "rows")
+    corpus = model["ids"] is not None
     ship(spark)
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("tail", "ids")})
+    wanted = T.StructType([T.StructField("row", T.LongType()), T.StructField("key", T.LongType())])
+
+    def seek(batches):
+        head = sent.value["head"][0]
+        for part in tk.slices(batches):
+            word, pair, doc, _ = hashed(part.column(1))
+            keys, doc = np.concatenate([word, pair[pair != 0]]), np.concatenate([doc, doc[pair != 0]])
+            rest = _sifted(sent.value["sieve"], keys)
+            keys, doc = keys[rest], doc[rest]
+            rest = _at(head, keys) < 0
+            doc, keys, _ = tk.counted(doc[rest], keys[rest])
+            number = part.column(0).to_numpy()[doc]
+            for i in range(0, len(keys), 1 << 18):
+                j = slice(i, i + (1 << 18))
+                yield pa.RecordBatch.from_arrays([pa.array(number[j]), pa.array(keys[j])], names=wanted.names)
+
+    found = (map_arrow(rows.select("row", "text"), seek, wanted).join(model["tail"], "key")
+             .groupBy("row").agg(F.collect_list(F.struct("key", "b", "t")).alias("found")))
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()),
+                           *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
 
     def run(batches):
         for part in tk.slices(batches):
-            n, (t, b) = losses(sent.value, part.column(1))
+            n, (t, b) = losses(sent.value, part.column(1), part.column(2), part.column(3).to_numpy(zero_copy_only=False) if corpus else None)
             none = n == 0
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(n.astype(np.int64)), pa.array(t, mask=none), pa.array(b, mask=none), pa.array(t - b, mask=none)],
                 names=schema.names)
 
-    return map_arrow(source, run, schema)
+    return map_arrow(rows.join(found, "row", "left").select("doc_id", "text", "found", "t"), run, schema)

@@ -65,3 +65,23 @@ def test_good_documents_score_lower(spark):
     labels = [(got[r.doc_id], r.quality) for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if got.get(r.doc_id) is not None]
     mean = lambda q: sum(s for s, y in labels if y == q) / sum(y == q for _, y in labels)
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count() and mean(1) < mean(0)
+
+
+def test_many_words_and_pairs_count_exactly(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD", 500)
+    rng = random.Random(2)
+    bag = [f"w{i}" for i in range(40_000)] * 2 + [f"s{i}" for i in range(40_000)] + ["the"] * 20_000
+    rng.shuffle(bag)
+    rows = [(i, " ".join(bag[i * 400:i * 400 + 400])) for i in range(len(bag) // 400)]
+    target = set(range(0, len(rows), 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = lm.fit(df, spark.createDataFrame([(i,) for i in target], "doc_id long"))
+    assert model["kinds"] == 40_001 and len(model["head"][0]) <= 500
+    got = {r.doc_id: r for r in lm.scored(df, model).collect()}
+    for d, n, t, b in plain(rows, target):
+        assert got[d].n_words == n and abs(got[d].target_loss - t) < 1e-9 and abs(got[d].background_loss - b) < 1e-9
+    assert max(r.target_loss for r in lm.scored(df, lm.fit(df, df.select("doc_id"), others=True)).collect()) == max(
+        r.background_loss for r in lm.scored(df, lm.fit(df, df.select("doc_id"))).collect())
+    new = spark.createDataFrame([(1, "the unseen the"), (2, "unseen1 unseen2")], "doc_id long, text string")
+    both = lm.scored(new, lm.fit(df, df.limit(0), others=True)).orderBy("doc_id").collect()
+    assert both[1].background_loss == math.log2(40_002) and both[0].target_loss == both[0].n_words * math.log2(40_002) / 3
