@@ -6,9 +6,12 @@ digit or an @ (other words can't be labelled).  Potentials: each token's shape
 features; chain edges between candidates that are neighbouring words; and skip
 edges between candidates that recur anywhere in the text, equal or similar
 (the same digits, or the same letters and digits whatever the case and
-punctuation).  Each occurrence is tied to the one before it, so that labels
-travel along all occurrences at a cost linear in their number.  Tokens inside
-base spans are evidence; loopy message passing carries it to the others, and
+punctuation).  Each occurrence is tied to the one before it, and each outside
+base spans also to the nearest one inside a base span on either side, however
+far away: of all pairs of occurrences these carry the evidence, at a cost
+linear in their number.  Tokens inside base spans are evidence; loopy message
+passing carries it to the others until no message moves by ``STILL`` (messages
+that rest cost nothing; ``ROUNDS`` ends what circles without settling), and
 tokens with a label's marginal of at least ``MARGINAL`` become added spans
 where they touch no base span.
 
@@ -41,7 +44,7 @@ LABELS = 1 + len(KINDS)  # 0: none
 SAMPLE_DOCS, SAMPLE_TOKENS = 4000, 200_000
 MARGINAL = 0.7
 SKIP_PRIOR, CHAIN_PRIOR = 2.0, 0.0
-ROUNDS = 12
+STILL, ROUNDS = 1e-7, 1000
 
 # Fixed patterns.  The look-behind and the possessive repeats match the same spans as plain
 # repeats would, in linear time.
@@ -162,6 +165,7 @@ class Graph:
     def __init__(self):
         self.tokens, self.shapes, self.labels, self.text = [], [], [], []
         self.chain, self.skip = [], []
+        self.far = []  # skip edges to evidence beyond the neighbouring occurrences; training must not see labels by them
 
     def add(self, number: int, text: str, spans) -> None:
         tokens, shapes, keys, labels = candidates(text, spans)
@@ -173,6 +177,16 @@ class Graph:
                 if key in last:
                     self.skip.append((last[key], first + i))
                 last[key] = first + i
+        forward = range(len(tokens))
+        for order in (forward, reversed(forward)):
+            near, evidence = {}, {}
+            for i in order:
+                if key := keys[i]:
+                    if labels[i]:
+                        evidence[key] = i
+                    elif key in evidence and evidence[key] != near[key]:
+                        self.far.append((first + evidence[key], first + i))
+                    near[key] = i
         self.tokens += tokens
         self.shapes += shapes
         self.labels += labels.tolist()
@@ -233,15 +247,24 @@ def marginals(model: dict, x: np.ndarray, y: np.ndarray, chain: np.ndarray, skip
     nc, ns = len(chain), len(skip)
     back = np.concatenate([np.arange(nc) + nc, np.arange(nc), np.arange(ns) + 2 * nc + ns, np.arange(ns) + 2 * nc])
     message = np.zeros((len(a), LABELS))
-    total = unary
-    for _ in range(rounds if len(a) else 0):
-        held = (total[a] - message[back])[:, :, None] + table
+    total = unary.copy()
+    live = np.arange(len(a))
+    for _ in range(rounds):
+        if not len(live):
+            break
+        held = (total[a[live]] - message[back[live]])[:, :, None] + table[live]
         top = held.max(1)
         new = top + np.log(np.exp(held - top[:, None, :]).sum(1))
         new -= new.max(1, keepdims=True)
-        message = 0.7 * new + 0.3 * message
-        total = unary.copy()
-        np.add.at(total, b, message)
+        step = 0.7 * (new - message[live])
+        message[live] += step
+        np.add.at(total, b[live], step)
+        moved = np.zeros(len(a), bool)
+        moved[live] = np.abs(step).max(1) > STILL
+        touched = np.zeros(len(total), bool)
+        touched[b[moved]] = True
+        # a message depends on what its source hears from others than its target
+        live = np.flatnonzero(touched[a] | moved)
     p = np.exp(total - total.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
@@ -256,7 +279,7 @@ def spans_of(texts: list[str | None], model: dict) -> list[tuple[list, list]]:
     every = [list(b) for b in base]
     if graph.tokens:
         x, y, chain, skip = graph.arrays()
-        p = marginals(model, x, y, chain, skip)
+        p = marginals(model, x, y, chain, np.concatenate([skip, np.array(graph.far, np.int64).reshape(-1, 2)]))
         label = p.argmax(1)
         new = (y == 0) & (label > 0) & (p[np.arange(len(p)), label] >= MARGINAL)
         last = None  # (text, word, kind, position in every)

@@ -106,6 +106,28 @@ def test_hot_token_is_linear():
     assert len(graph.skip) <= 20_001
 
 
+def test_evidence_reaches_all_occurrences():
+    model = learnt()
+    eye = np.eye(pii.LABELS)
+    model |= {"unary": np.zeros_like(model["unary"]), "chain": np.zeros((pii.LABELS, pii.LABELS)), "skip": 3 * eye}
+    for n in (40, 2000):
+        for text in ("x 555-3296 " * n + "+1 (269) 555-3296", "+1 (269) 555-3296" + " x 555-3296" * n):
+            ((base, every),) = pii.spans_of([text], model)
+            assert len(base) == 1 and sum(text[s:e] == "555-3296" and k == 3 for k, s, e in every) == n
+    graph = pii.Graph()
+    graph.add(0, text, pii.base_spans(text))
+    assert len(graph.far) < 2 * n
+
+
+def test_messages_converge_along_a_long_chain():
+    n = 60
+    model = {"unary": np.zeros((pii.FEATURES, pii.LABELS)), "chain": 6 * np.eye(pii.LABELS), "skip": np.zeros((pii.LABELS, pii.LABELS))}
+    chain = np.stack([np.arange(n - 1), np.arange(1, n)], 1)
+    got = pii.marginals(model, np.zeros((n, pii.FEATURES), np.float32), np.array([4] + [0] * (n - 1)), chain, np.zeros((0, 2), np.int64))
+    step = np.exp(model["chain"]) / np.exp(model["chain"]).sum(1, keepdims=True)
+    assert np.allclose(got[-1], np.linalg.matrix_power(step, n - 1)[4], atol=1e-4)
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (None, "é a@b.c"), (3, "a@b.c x@y.z"), (3, "a@b.c x@y.z"), (4, "word " * 50000 + "9.9.9.9"), (5, "no data")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "text as spans", "length(text) as n_chars")
