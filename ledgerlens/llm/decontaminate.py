@@ -21,8 +21,10 @@ words, and each block is matched against all documents in one pass without a
 shuffle.
 
 Edge cases.  Null and empty texts match nothing, as do null and empty items.
-Items of fewer than ``SHORT`` words match only a document that has the same
-words and no others.  A repeated document row gives repeated results; repeated
+Items of fewer than ``SHORT`` words allow no edits: they match every document
+that holds them whole, found by hashes of all its windows of their size.  Items
+of fewer than ``WHOLE`` words stand in any text by chance, so they match only a
+document that has the same words and no others.  A repeated document row gives repeated results; repeated
 item rows count once; items of equal text and different ids all match.  Null
 ids are kept as they are.  Only the id and text columns are read by
 ``matches``; ``clean`` keeps all columns whatever their names.  Empty tables
@@ -40,7 +42,7 @@ from .ship import map_arrow, ship
 
 U = np.uint64
 EDIT_SHARE = 5
-SHORT = 8
+SHORT, WHOLE = 8, 3
 REPEATS, SAMPLES = 32, 3
 BLOCK_WORDS = 1_000_000
 _SEED = 20_240_229
@@ -56,13 +58,15 @@ class Items:
         _, _, _, h, at = tk.words(data, offsets, tk.ALNUM, tk.FOLDED)
         self.words = [h[at[i]:at[i + 1]] for i in range(len(rows))]
         size = np.diff(at)
-        self.short: dict[bytes, list[int]] = {}
+        self.short: dict[int, dict[bytes, list[int]]] = {}
         by_size: dict[int, list[int]] = {}
         for i, n in enumerate(size.tolist()):
             if n >= SHORT:
                 by_size.setdefault(n, []).append(i)
             elif n:
-                self.short.setdefault(self.words[i].tobytes(), []).append(i)
+                self.short.setdefault(n, {}).setdefault(self.words[i].tobytes(), []).append(i)
+        self.windows = {n: np.unique(tk.windows(np.concatenate([np.frombuffer(w, U) for w in found]), n)[::n])
+                        for n, found in self.short.items()}
         self.grams = {}
         self.keys = {}
         found: dict[int, list] = {}
@@ -133,10 +137,14 @@ def find(batch: pa.RecordBatch, text_at: int, items: Items) -> list[tuple]:
     for part in tk.slices([batch], (batch.schema.field(text_at).name,)):
         data, offsets = tk.text_buffer(part.column(text_at))
         _, _, doc, h, at = tk.words(data, offsets, tk.ALNUM, tk.FOLDED)
-        if items.short:
-            for i in np.flatnonzero(np.diff(at) < SHORT):
-                for k in items.short.get(h[at[i]:at[i + 1]].tobytes(), ()):
-                    out.append((first + int(i), k, 0, 0))
+        for n, short in items.short.items():
+            p = np.flatnonzero(np.isin(tk.windows(h, n), items.windows[n]))
+            p = p[p + n <= at[doc[p] + 1]]
+            if n < WHOLE:
+                p = p[np.diff(at)[doc[p]] == n]
+            for i, d in zip(p.tolist(), doc[p].tolist()):
+                for k in short.get(h[i:i + n].tobytes(), ()):
+                    out.append((first + d, k, 0, i - int(at[d])))
         spots = []
         for q, (bits, grams, sizes, places) in items.grams.items():
             g = tk.windows(h, q)

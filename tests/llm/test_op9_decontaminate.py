@@ -78,3 +78,14 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6]
     assert dc.matches(df.limit(0), bench).count() == 0
     assert dc.matches(df, bench.limit(0)).count() == 0 and dc.clean(df, bench.limit(0)).count() == len(docs)
+
+
+def test_short_items_match_inside_longer_documents(spark):
+    items = [(1, "What is it?"), (2, "the capital of France"), (3, "a b c d e f g"), (4, "of France"), (5, "b"), (6, "IS it what")]
+    docs = [(1, "so what is IT, then " * 3), (2, "name the capital of france"), (3, "x a b c d e f g"), (4, "a b c d e f h g"),
+            (5, "OF france"), (6, "what is"), (7, "it what is"), (8, "the capital"), (9, "of France again"), (10, "B"), (11, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.edits, r.start_word) for r in dc.matches(df, bench).collect())
+    assert got == [(1, 1, 0, 1), (2, 2, 0, 1), (3, 3, 0, 1), (5, 4, 0, 0), (10, 5, 0, 0)]
+    assert sorted(r.doc_id for r in dc.clean(df, bench).collect()) == [4, 6, 7, 8, 9, 11]
