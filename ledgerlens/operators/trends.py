@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .select import safe_corr
 
 TOP_CATEGORIES = 10   # R9: the coverage table lists the top 10
@@ -59,9 +60,9 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
 
 def coverage(df: DataFrame, col: str, top: int = TOP_CATEGORIES) -> DataFrame:
     """Top-N categories by count with share and cumulative share of all rows (%)."""
-    # the total is the sum of the counts; only grouped rows take this window
-    counts = category_counts(df, col).withColumn("_total", F.sum("n").over(Window.partitionBy()))
-    head = counts.orderBy(F.col("n").desc(), F.col("category").asc()).limit(top)
+    counts = cut_lineage(category_counts(df, col))
+    total = counts.agg(F.sum("n").alias("_total"))   # one row; the grouped rows stay spread
+    head = counts.join(F.broadcast(total)).orderBy(F.col("n").desc(), F.col("category").asc()).limit(top)
     w = Window.orderBy(F.col("n").desc(), F.col("category").asc())
     return head.select(
         F.row_number().over(w).cast("bigint").alias("position"), "category", "n",
@@ -108,10 +109,9 @@ def historical_average(df: DataFrame, key: str, year: str, month: str,
 def risk_score(df: DataFrame, key: str, target: str) -> DataFrame:
     """Group mean of the target divided by the overall mean."""
     y = F.col(target).cast("double")
-    every = Window.partitionBy()   # over the grouped rows
-    overall = F.try_divide(F.sum("_s").over(every), F.sum("_c").over(every))
-    return df.groupBy(key).agg(F.avg(y).alias("_m"), F.sum(y).alias("_s"), F.count(y).alias("_c")).select(
-        key, F.try_divide(F.col("_m"), overall).alias("risk"))
+    per = cut_lineage(df.groupBy(key).agg(F.avg(y).alias("_m"), F.sum(y).alias("_s"), F.count(y).alias("_c")))
+    overall = per.agg(F.try_divide(F.sum("_s"), F.sum("_c")).alias("_o"))   # one row
+    return per.join(F.broadcast(overall)).select(key, F.try_divide("_m", "_o").alias("risk"))
 
 
 def conditional_uplift(df: DataFrame, target: str, cond, name: str) -> F.Column:
