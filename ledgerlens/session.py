@@ -9,9 +9,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark removes an execution's shuffle files when the execution ends, not when a
+# garbage collection on the driver happens to find its plan
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_spark(app: str = "ledgerlens", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
@@ -70,6 +76,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffles_end_here(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside leave no shuffle files behind (the written table takes their place)."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table under the session's
     checkpoint directory (a shared folder on a cluster) and reading it back.
@@ -82,5 +102,6 @@ def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    with shuffles_end_here(spark):
+        df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
