@@ -33,8 +33,6 @@ an empty result.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -118,10 +116,8 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: st
     spark, ids = docs.sparkSession, _ids(target, id_col)
     word = F.col("key").bitwiseAND(1) == 1
     kept = F.lit(True) if others else word | (F.col("b") > 1)
-    counts = Scratch(spark, "language-model").write(_counts(_marked(docs, ids, id_col, text_col)).where(kept), "counts")
-    # Spark deletes the counting's shuffle files, the largest here, once its plan is garbage
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    scratch = Scratch(spark, "language-model")
+    counts = scratch.write(_counts(_marked(docs, ids, id_col, text_col)).where(kept), "counts")
     step = F.floor(F.log2("b") * STEPS)
     b, t, kinds = counts.where(word).agg(F.sum("b"), F.sum("t"), F.count_if(F.col("b") >= LEAST)).first()
     cut, size = 64 * STEPS, 0
@@ -139,7 +135,7 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: st
     sieve = np.zeros(1 << SIEVE_BITS - 6, np.int64)
     sieve[marks.column("at").to_numpy()] = marks.column("bits").to_numpy()
     return {"tail": tail, "sieve": sieve.view(U), "head": [x[order] for x in head], "total": (b or 0, t or 0), "kinds": kinds,
-            "ids": None if others else ids}
+            "ids": None if others else ids, "counts": counts, "scratch": scratch}
 
 
 def _at(keys: np.ndarray, sought: np.ndarray) -> np.ndarray:
@@ -189,15 +185,20 @@ def losses(model: dict, column, found, own: np.ndarray | None) -> tuple[np.ndarr
     return n, np.stack(out)
 
 
-def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss, score of every document."""
-    spark = docs.sparkSession
+def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", last: bool = False) -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss, score of every document.
+
+    The documents are written with a number for each row, and the counts that
+    they need with those numbers; each table's shuffles end with it.  ``last``:
+    the model is of no more use, so its counts are deleted before the texts are
+    shuffled to their counts.
+    """
+    spark, scratch = docs.sparkSession, model["scratch"]
     # written, so that each row keeps its number
-    rows = Scratch(spark, "language-model").write(
-        _marked(docs, model["ids"], id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "rows")
+    rows = scratch.write(_marked(docs, model["ids"], id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "rows")
     corpus = model["ids"] is not None
     ship(spark)
-    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k not in ("tail", "ids")})
+    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k in ("sieve", "head", "total", "kinds")})
     wanted = T.StructType([T.StructField("row", T.LongType()), T.StructField("key", T.LongType())])
 
     def seek(batches):
@@ -214,8 +215,10 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 j = slice(i, i + (1 << 18))
                 yield pa.RecordBatch.from_arrays([pa.array(number[j]), pa.array(keys[j])], names=wanted.names)
 
-    found = (map_arrow(rows.select("row", "text"), seek, wanted).join(model["tail"], "key")
-             .groupBy("row").agg(F.collect_list(F.struct("key", "b", "t")).alias("found")))
+    answers = scratch.write(map_arrow(rows.select("row", "text"), seek, wanted).join(model["tail"], "key"), "answers")
+    if last:
+        scratch.drop(model["counts"])
+    found = answers.groupBy("row").agg(F.collect_list(F.struct("key", "b", "t")).alias("found"))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
 

@@ -10,4 +10,5 @@ from .language_model import fit, scored
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, target_loss, background_loss, score; target: all documents labelled quality 1."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return scored(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")))
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1"))
+    return scored(docs, model, last=True)

@@ -6,15 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import ensure_checkpoint_dir, shuffles_end_here
 
 
 class Scratch:
     """Names a folder of its own below the checkpoint folder.
 
     ``write`` cuts lineage through a Parquet table there, so that a lost
-    executor costs only the tasks that ran on it; ``drop`` removes tables that
-    no later step reads.
+    executor costs only the tasks that ran on it, and Spark removes the shuffle
+    files behind the table; ``drop`` removes tables that no later step reads.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -28,7 +28,8 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        with shuffles_end_here(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
