@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import tokens as tk
 from .components import components
@@ -204,12 +204,16 @@ def links(sketched: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str =
     among each other.  A member b that it doesn't link may still be near
     another member a; such pairs have the lead in common, and their
     similarities to it differ by at most 1 - similarity (triangle inequality).
-    Around a lead with few of them they are compared in pairs.  Around others,
-    let K be the lead's shingles and those beyond it that more than ``holders``
-    members hold.  Two members either share a shingle outside K, by which they
-    are joined (at most ``holders`` rows each), or what they share lies in K:
-    then it weighs at most what either of them has in K, which bounds their
-    similarity by three weights and leaves few pairs.  So no link is lost.
+    Texts that a chain of found links joins need no more links either.  Around
+    a lead with few texts left they are compared in pairs.  Other leads that
+    share members form a crowd, and each of its members emits its shingles once,
+    those beyond the crowd's centre (the lead with most members).  Let K be the
+    centre's shingles and those that more than ``holders`` members hold beyond
+    it.  Two members either share a shingle outside K, by which they are joined
+    (at most ``holders`` rows each), or what they share lies in K: then it
+    weighs at most what either of them has in K.  These weights bound the
+    similarity and leave few pairs to settle.  So no link is lost, and rows grow
+    with the texts of a crowd, not with its leads or its pairs.
     """
     far = 1 - similarity + 1e-9
     exploded = sketched.where("node is not null").select("node", F.explode("bands").alias("b"))
@@ -229,44 +233,59 @@ def links(sketched: DataFrame, docs: DataFrame, scratch: Scratch, id_col: str =
         .select("node", "text").dropDuplicates(["node"]), "texts")
     settled = scratch.write(_settle(pairs, texts).withColumn("linked", F.col("sim") >= similarity), "settled")
     found = settled.where("linked").select(F.col("node").alias("u"), F.col("lead").alias("v"))
-
-    # texts with one label are linked already: label is the lead that links the text, of several the one that met most
-    label = settled.join(pairs, ["node", "lead"]).where("linked").groupBy("node").agg(
-        F.max(F.struct("met", "lead"))["lead"].alias("label"))
-    around = settled.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # texts of one component are linked already: only texts of different labels are compared from here on
+    stars = scratch.write(components(found, scratch), "stars")
+    scratch.drop(members, pairs)
+    around = settled.join(stars.withColumnRenamed("comp", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = around.groupBy("lead").agg(
         F.sum(F.when(F.col("linked"), 0).otherwise(1)).alias("apart"), (F.count("*") * F.sum(F.when(F.col("linked"), 0).otherwise(1))).alias("work"),
         F.min("label").alias("low"), F.max("label").alias("high")).where("apart > 0 and low <> high")
     around = scratch.write(around.join(groups.select("lead", "work"), "lead"), "around")
-
-    def meeting(left: DataFrame, right: DataFrame, key: list[str], near=None) -> DataFrame:
-        other = right.select(*key, *(F.col(c).alias(f"o_{c}") for c in ("node", "label", "linked", "sim", "weight", "shared")))
-        ok = (F.col("label") != F.col("o_label")) & (F.col("o_linked") | (F.col("node") > F.col("o_node"))) & (F.abs(F.col("sim") - F.col("o_sim")) <= far)
-        if near is not None:
-            ok = ok & near
-        return left.where("not linked").join(other, key).where(ok).select("node", F.col("o_node").alias("lead"))
-
-    small, large = around.where(F.col("work") <= few), around.where(F.col("work") > few)
-    more = meeting(small, small, ["lead"])
+    scratch.drop(settled)
+    enough = similarity - 1e-9
+    different = F.col("label") != F.col("o_label")
+
+    def meeting(rows: DataFrame, most: Column) -> DataFrame:
+        """Pairs around one lead whose shared weight may be as high as ``most``."""
+        other = rows.select("lead", *(F.col(c).alias(f"o_{c}") for c in ("node", "label", "linked", "sim", "weight", "within")))
+        ok = different & (F.col("o_linked") | (F.col("node") > F.col("o_node"))) & (F.abs(F.col("sim") - F.col("o_sim")) <= far)
+        return (rows.where("not linked").join(other, "lead").where(ok & (most >= enough * (F.col("weight") + F.col("o_weight") - most)))
+                .select("node", F.col("o_node").alias("lead")))
+
+    # what two texts share beyond the lead is at most what either has there
+    plain = around.withColumn("within", F.col("shared"))
+    both = F.least("within", "o_within") + F.least(F.col("weight") - F.col("within"), F.col("o_weight") - F.col("o_within"))
+    small, large = plain.where(F.col("work") <= few), around.where(F.col("work") > few)
+    more = meeting(small, both)
     if not large.isEmpty():
-        beyond = scratch.write(_own_shingles(large, texts), "beyond")
-        held = beyond.join(large.select("node", "lead", "label", "linked"), ["node", "lead"]).groupBy("lead", "shingle").agg(
-            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.max(~F.col("linked")).alias("any"))
-        held = scratch.write(held.where("n > 1"), "held")
-        common = beyond.join(held.where(F.col("n") > holders).select("lead", "shingle"), ["lead", "shingle"])
-        within = large.join(common.groupBy("lead", "node").agg(F.sum("extra").alias("more")), ["lead", "node"], "left").withColumn(
-            "shared", F.col("shared") + F.coalesce("more", F.lit(0.0))).drop("more")
-        # a text alone: its best partner weighs as much as what they share
-        within = within.where(F.col("shared") >= (similarity - 1e-9) * F.col("weight"))
-        most = F.least("shared", "o_shared")
-        more = more.unionByName(meeting(within, within, ["lead"], most >= (similarity - 1e-9) * (F.col("weight") + F.col("o_weight") - most)))
-        rare = held.where((F.col("n") <= holders) & F.col("any") & (F.col("low") < F.col("high"))).select("lead", "shingle")
-        rare = scratch.write(beyond.join(rare, ["lead", "shingle"]).drop("extra").join(large, ["node", "lead"]), "rare")
-        more = more.unionByName(meeting(rare, rare, ["lead", "shingle"]))
-    more = _settle(scratch.write(more.distinct(), "more"), texts).where(F.col("sim") >= similarity)
-    out = scratch.write(found.unionByName(more.select(F.col("node").alias("u"), F.col("lead").alias("v"))), "found")
-    scratch.drop(members, pairs, texts, settled, around)
-    return out
+        crowd = components(large.select(F.col("node").alias("u"), F.col("lead").alias("v")), scratch)
+        crowd = scratch.write(crowd.withColumnRenamed("comp", "crowd"), "crowds")
+        sizes = large.groupBy("lead").count().join(crowd.withColumnRenamed("node", "lead"), "lead")
+        centre = sizes.groupBy("crowd").agg(F.max(F.struct("count", "lead"))["lead"].alias("centre"))
+        nodes = scratch.write(large.select("node", "label", "weight").distinct().join(crowd, "node").join(centre, "crowd"), "crowded")
+        beyond = scratch.write(
+            _own_shingles(nodes.where("node <> centre").select("node", F.col("centre").alias("lead")), texts)
+            .join(nodes.select("node", "crowd", "label"), "node").select("crowd", "shingle", "node", "label", "extra"), "beyond")
+        held = scratch.write(beyond.groupBy("crowd", "shingle").agg(
+            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")), "held")
+        rare = held.where(F.col("n") <= holders)
+        alone = beyond.join(rare.select("crowd", "shingle"), ["crowd", "shingle"]).groupBy("node").agg(F.sum("extra").alias("rare"))
+        kept = scratch.write(nodes.join(alone, "node", "left").select(
+            "node", "weight", (F.col("weight") - F.coalesce("rare", F.lit(0.0))).alias("within")), "within")
+        # a text that is mostly rare shingles can't reach the threshold by the others
+        common = large.join(kept.drop("weight"), "node").where(F.col("within") >= enough * F.col("weight"))
+        more = more.unionByName(meeting(common, F.least("within", "o_within")))
+        shared = beyond.join(rare.where("low < high").select("crowd", "shingle"), ["crowd", "shingle"])
+        other = shared.select("crowd", "shingle", *(F.col(c).alias(f"o_{c}") for c in ("node", "label", "extra")))
+        met = (shared.join(other, ["crowd", "shingle"]).where(different & (F.col("node") > F.col("o_node")))
+               .groupBy("node", "o_node").agg(F.sum(F.least("extra", "o_extra")).alias("met")))
+        met = met.join(kept, "node").join(kept.select(*(F.col(c).alias(f"o_{c}") for c in kept.columns)), "o_node")
+        most = F.col("met") + F.least("within", "o_within")
+        more = more.unionByName(met.where(most >= enough * (F.col("weight") + F.col("o_weight") - most)).select(
+            "node", F.col("o_node").alias("lead")))
+    more = scratch.write(_settle(scratch.write(more.distinct(), "more"), texts).where(F.col("sim") >= similarity), "late")
+    scratch.drop(texts, around)
+    return stars.select(F.col("node").alias("u"), F.col("comp").alias("v")).unionByName(more.select(F.col("node").alias("u"), F.col("lead").alias("v")))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -277,15 +296,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     text (with doc_id it finds the row again), class_size counts the rows of
     the class.
     """
+    return _classes(docs, id_col, text_col, similarity, bands, rows)[0]
+
+
+def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+             bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, list[DataFrame]]:
+    """``classes``, and the written tables that it reads."""
     scratch = Scratch(docs.sparkSession, "near-dup")
     sketched = scratch.write(sketch(docs, id_col, text_col, bands, rows), "sketch")
-    comp = scratch.write(components(links(sketched, docs, scratch, id_col, text_col, similarity), scratch), "classes")
-    rows_ = sketched.where("node is not null").select("doc_id", "text_hash", "node")
-    placed = rows_.join(comp, "node", "left").select("doc_id", "text_hash", F.coalesce("comp", "node").alias("comp"))
+    found = links(sketched, docs, scratch, id_col, text_col, similarity)
+    rows_ = scratch.write(sketched.select("doc_id", "text_hash", "node"), "rows")
+    scratch.drop(sketched)
+    comp = scratch.write(components(found, scratch), "classes")
+    worded = rows_.where("node is not null")
+    placed = worded.join(comp, "node", "left").select("doc_id", "text_hash", F.coalesce("comp", "node").alias("comp"))
     named = placed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     out = placed.join(named, "comp").select("doc_id", "text_hash", "class_id", "class_size")
-    return out.unionByName(sketched.where("node is null").select(
-        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
+    return out.unionByName(rows_.where("node is null").select(
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))), [rows_, comp]
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -294,21 +322,25 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of rows that repeat that id inside the class one stays (in a class of null
     ids, one row).  Rows without words all stay.
     """
-    found = classes(docs, id_col, text_col, **options).where("class_size > 1")
+    found, tables = _classes(docs, id_col, text_col, **options)
     scratch = Scratch(docs.sparkSession, "near-dup-keep")
-    found = scratch.write(found, "grouped")
+    found = scratch.write(found.where("class_size > 1"), "grouped")
+    scratch.drop(*tables)
     # (id, text) pairs that occur in many rows are settled apart, the rest by an anti-join
     key = ["doc_id", "text_hash"]
     lost = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(*key).distinct()
     heads = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     # a null id names no single class: its rows are told apart by their text
     tied = heads.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
-    marked = docs.withColumn("__th", F.xxhash64(text_col))
-    on = lambda t: marked[id_col].eqNullSafe(t.doc_id) & (marked["__th"] == t.text_hash)
+    own = "text_hash"
+    while own in docs.columns:
+        own += "_"
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    on = lambda t: marked[id_col].eqNullSafe(t.doc_id) & (marked[own] == t.text_hash)
     kept = marked.join(lost, on(lost), "left_anti")
     if tied.isEmpty():
-        return kept.drop("__th")
-    on_tied = kept[id_col].eqNullSafe(tied.doc_id) & (kept["__th"] == tied.text_hash)
+        return kept.drop(own)
+    on_tied = kept[id_col].eqNullSafe(tied.doc_id) & (kept[own] == tied.text_hash)
     single = kept.join(tied, on_tied, "left_anti")
-    many = kept.join(tied, on_tied, "left_semi").dropDuplicates([id_col, "__th"])
-    return single.unionByName(many).drop("__th")
+    many = kept.join(tied, on_tied, "left_semi").dropDuplicates([id_col, own])
+    return single.unionByName(many).drop(own)
