@@ -51,6 +51,8 @@ HEAD = 1 << 20
 SIEVE_BITS = 27
 #: Classes of counts for each doubling, by which the head is cut.
 STEPS = 16
+#: Bits of the smaller of two packed counts (of the target's, which the corpus' includes).
+PACKED = 31
 #: Occurrences that a task counts at once.
 HELD = 1 << 21
 #: Up to so many ids of target documents are broadcast; beyond, documents and labels are joined by shuffle.
@@ -152,17 +154,17 @@ def _sifted(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (sieve[bit >> U(6)] >> (bit & U(63)) & U(1)).astype(bool)
 
 
-def losses(model: dict, column, found, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def losses(model: dict, column, found: tuple, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Number of words, and each model's mean loss in bits (rows: target, background), of each text.
 
-    found: for each text, the (key, b, t) of those of its words and pairs that aren't in the head.
+    found: for each text, the keys of those of its words and pairs that aren't in the head, and their packed counts.
     own: whether each text is a target document, if the texts are of the corpus.
     """
     word, pair, doc, at = hashed(column)
     n = np.diff(at)
-    flat = pc.list_flatten(found)
-    tail, first = np.unique(flat.field("key").to_numpy(zero_copy_only=False), return_index=True)
-    counts = [[model["head"][i], flat.field(c).to_numpy(zero_copy_only=False)[first]] for i, c in ((1, "b"), (2, "t"))]
+    keys, packed = (pc.list_flatten(x).to_numpy(zero_copy_only=False) for x in found)
+    tail, first = np.unique(keys, return_index=True)
+    counts = [[model["head"][1], packed[first] >> PACKED], [model["head"][2], packed[first] & ((1 << PACKED) - 1)]]
 
     def looked_up(keys):
         places = [_at(model["head"][0], keys), _at(tail, keys)]
@@ -215,19 +217,23 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 j = slice(i, i + (1 << 18))
                 yield pa.RecordBatch.from_arrays([pa.array(number[j]), pa.array(keys[j])], names=wanted.names)
 
-    answers = scratch.write(map_arrow(rows.select("row", "text"), seek, wanted).join(model["tail"], "key"), "answers")
+    # keys beyond the head occur at most about 2.1 N / HEAD times, so that both counts fit one number
+    packed = model["tail"].select("key", (F.shiftleft("b", PACKED) + F.col("t")).alias("n"))
+    answers = scratch.write(map_arrow(rows.select("row", "text"), seek, wanted).join(packed, "key").select("row", "key", "n"), "answers")
     if last:
         scratch.drop(model["counts"])
-    found = answers.groupBy("row").agg(F.collect_list(F.struct("key", "b", "t")).alias("found"))
+    # both lists of a row are in one order: they take the same rows one by one
+    found = answers.groupBy("row").agg(F.collect_list("key").alias("keys"), F.collect_list("n").alias("counts"))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
 
     def run(batches):
         for part in tk.slices(batches):
-            n, (t, b) = losses(sent.value, part.column(1), part.column(2), part.column(3).to_numpy(zero_copy_only=False) if corpus else None)
+            n, (t, b) = losses(sent.value, part.column(1), (part.column(2), part.column(3)),
+                               part.column(4).to_numpy(zero_copy_only=False) if corpus else None)
             none = n == 0
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(n.astype(np.int64)), pa.array(t, mask=none), pa.array(b, mask=none), pa.array(t - b, mask=none)],
                 names=schema.names)
 
-    return map_arrow(rows.join(found, "row", "left").select("doc_id", "text", "found", "t"), run, schema)
+    return map_arrow(rows.join(found, "row", "left").select("doc_id", "text", "keys", "counts", "t"), run, schema)

@@ -29,7 +29,7 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         with shuffles_end_here(self.spark):
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
