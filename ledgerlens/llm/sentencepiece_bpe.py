@@ -113,14 +113,35 @@ class Vocabulary:
                 if a is not None and b is not None:
                     pairs[a * self.wide + b] = (score, i)
         self.pairs = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.scores = np.array([pairs[k][0] for k in self.keys.tolist()], np.float64)
-        self.joined = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
+        self._table(pairs)
+        silent = self.silent | self.byte_value.keys() | {self.unknown}
+        #: text of each ordinary piece, and each id in decimal
+        self.shown = [None if i in silent else t.replace(SPACE, " ") for i, t in enumerate(self.text)]
+        self.digits = [str(i) for i in range(size)]
         self.chars = np.array(sorted(ord(c) for c in symbols if len(c) == 1), np.uint32)
         self.char_symbols = np.array([symbols[chr(c)] for c in self.chars], np.int64)
 
     # -- agendas ---------------------------------------------------------------
 
+    def _table(self, pairs: dict[int, tuple[float, int]]) -> None:
+        """A hash table of the merges: keys (-1: free), scores and joined pieces by slot, at most an eighth full."""
+        self.bits = max(4, (8 * len(pairs)).bit_length())
+        size = 1 << self.bits
+        self.keys, self.scores, self.joined = np.full(size, -1, np.int64), np.full(size, -np.inf), np.zeros(size, np.int64)
+        todo = np.array(list(pairs), np.int64)
+        slot = self._slot(todo)
+        while len(todo):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = todo[free]  # of several keys for one slot the last stays
+            left = self.keys[slot] != todo
+            todo, slot = todo[left], (slot[left] + 1) & (size - 1)
+        used = np.flatnonzero(self.keys >= 0)
+        self.scores[used] = [pairs[k][0] for k in self.keys[used].tolist()]
+        self.joined[used] = [pairs[k][1] for k in self.keys[used].tolist()]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(tk.U) * tk.U(0x9E3779B97F4A7C15) >> tk.U(64 - self.bits)).view(np.int64)
+
     def _spell(self, symbol: int, char: str) -> list[int]:
         if symbol < self.wide and self.is_piece[symbol]:
             return [symbol]
@@ -159,10 +180,16 @@ class Vocabulary:
         return self._one_unknown([x for s, c in zip(symbol, segment) if s >= 0 for x in self._spell(s, c)])
 
     def _pair(self, a: np.ndarray, b: np.ndarray):
+        """Score of joining a and b (minus infinity: no merge), and the joined piece."""
         key = a * self.wide + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.scores[at], -np.inf), self.joined[at]
+        slot = self._slot(key)
+        found = self.keys[slot]
+        off = np.flatnonzero((found != key) & (found >= 0))
+        while len(off):
+            slot[off] = (slot[off] + 1) & (len(self.keys) - 1)
+            found[off] = self.keys[slot[off]]
+            off = off[(found[off] != key[off]) & (found[off] >= 0)]
+        return np.where(found == key, self.scores[slot], -np.inf), self.joined[slot]
 
     def in_step(self, segments: list[str]) -> list[list[int]]:
         """Ids of segments of up to SHORT characters, one agenda a row, all taking a step at a time."""
@@ -256,6 +283,11 @@ class Vocabulary:
 
     def decode(self, ids, strip: bool = True) -> str:
         """Text of ids; ``strip``: drop the space that encoding puts in front."""
+        shown = self.shown
+        pieces = [shown[i] for i in ids]
+        if None not in pieces:
+            text = "".join(pieces)
+            return text[1:] if strip and text[:1] == " " else text
         out, raw, first = [], bytearray(), strip
         for i in ids:
             if i in self.byte_value:
@@ -302,9 +334,9 @@ class Memory:
         new = keys - self.young.keys()
         kept = {k: self.old[k] for k in new & self.old.keys()}
         long = {}
-        fresh = list(new - kept.keys())
+        fresh, digits = list(new - kept.keys()), self.vocab.digits
         for key, ids in zip(fresh, self.vocab.encode_segments(fresh)):
-            entry = (len(ids), ",".join(map(str, ids)), self.vocab.decode(ids, strip=False))
+            entry = (len(ids), ",".join([digits[i] for i in ids]), self.vocab.decode(ids, strip=False))
             (kept if len(key) < SHORT else long)[key] = entry
         if len(self.young) + len(kept) > REMEMBERED:
             self.old, self.young = self.young, {}
