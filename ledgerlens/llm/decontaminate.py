@@ -21,10 +21,11 @@ words, and each block is matched against all documents in one pass without a
 shuffle.
 
 Edge cases.  Null and empty texts match nothing, as do null and empty items.
-Items of fewer than ``SHORT`` words allow no edits: they match every document
-that holds them whole, found by hashes of all its windows of their size.  Items
-of fewer than ``WHOLE`` words stand in any text by chance, so they match only a
-document that has the same words and no others.  A repeated document row gives repeated results; repeated
+Items of fewer than ``EDIT_SHARE`` words allow no edits (floor(L / 5) is 0): they
+match every document that holds them whole, found by hashes of all its windows
+of their size.  Items of fewer than ``whole`` words (a parameter; 1 turns the
+rule off) stand in any text by chance, so they match only a document that has
+the same words and no others.  A repeated document row gives repeated results; repeated
 item rows count once; items of equal text and different ids all match.  Null
 ids are kept as they are.  Only the id and text columns are read by
 ``matches``; ``clean`` keeps all columns whatever their names.  Empty tables
@@ -42,7 +43,7 @@ from .ship import map_arrow, ship
 
 U = np.uint64
 EDIT_SHARE = 5
-SHORT, WHOLE = 8, 3
+WHOLE = 3
 REPEATS, SAMPLES = 32, 3
 BLOCK_WORDS = 1_000_000
 _SEED = 20_240_229
@@ -61,7 +62,7 @@ class Items:
         self.short: dict[int, dict[bytes, list[int]]] = {}
         by_size: dict[int, list[int]] = {}
         for i, n in enumerate(size.tolist()):
-            if n >= SHORT:
+            if n >= EDIT_SHARE:
                 by_size.setdefault(n, []).append(i)
             elif n:
                 self.short.setdefault(n, {}).setdefault(self.words[i].tobytes(), []).append(i)
@@ -130,7 +131,7 @@ def _between(keys: np.ndarray, found: np.ndarray):
     return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
 
 
-def find(batch: pa.RecordBatch, text_at: int, items: Items) -> list[tuple]:
+def find(batch: pa.RecordBatch, text_at: int, items: Items, whole: int = WHOLE) -> list[tuple]:
     """(row, item number, edits, first word of the window) of all matches in a batch."""
     out, first = [], 0
     taken: dict[int, list] = {}
@@ -140,7 +141,7 @@ def find(batch: pa.RecordBatch, text_at: int, items: Items) -> list[tuple]:
         for n, short in items.short.items():
             p = np.flatnonzero(np.isin(tk.windows(h, n), items.windows[n]))
             p = p[p + n <= at[doc[p] + 1]]
-            if n < WHOLE:
+            if n < whole:
                 p = p[np.diff(at)[doc[p]] == n]
             for i, d in zip(p.tolist(), doc[p].tolist()):
                 for k in short.get(h[i:i + n].tobytes(), ()):
@@ -214,7 +215,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+            item_id_col: str = "item_id", item_text_col: str = "text", whole: int = WHOLE) -> DataFrame:
     """doc_id, item_id, edits, start_word (where the best window begins) of every document and item that match."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -229,7 +230,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         def run(batches, sent=sent):
             items = sent.value
             for batch in batches:
-                found = sorted(find(batch, 1, items))
+                found = sorted(find(batch, 1, items, whole))
                 if found:
                     row, item, edits, start = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -242,7 +243,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
-          item_text_col: str = "text") -> DataFrame:
+          item_text_col: str = "text", whole: int = WHOLE) -> DataFrame:
     """The documents in which no item matches, with all their columns; no shuffle."""
     spark = docs.sparkSession
     at = docs.columns.index(text_col)
@@ -256,7 +257,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
         def run(batches, sent=sent):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[m[0] for m in find(batch, at, sent.value)]] = False
+                keep[[m[0] for m in find(batch, at, sent.value, whole)]] = False
                 yield batch.filter(pa.array(keep))
 
         out = map_arrow(out, run, schema)

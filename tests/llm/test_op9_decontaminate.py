@@ -26,7 +26,7 @@ def brute_force(docs, items):
         w = words(text)
         for i, t in items:
             x = words(t)
-            if x and (w == x if len(x) < 8 else best_passage(x, w) <= len(x) // 5):
+            if x and (w == x if len(x) < 3 else best_passage(x, w) <= len(x) // 5):
                 out.add((d, i))
     return out
 
@@ -35,7 +35,7 @@ def test_matches_agree_with_brute_force(spark):
     rng = random.Random(1)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 5))) for _ in range(400)]
     text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    items = [(i, text(rng.choice([8, 11, 15, 24, 40, 60]))) for i in range(30)]
+    items = [(i, text(rng.choice([5, 6, 7, 8, 11, 15, 24, 40, 60]))) for i in range(30)]
     docs = []
     for d in range(240):
         body = text(rng.randint(20, 120))
@@ -87,5 +87,8 @@ def test_short_items_match_inside_longer_documents(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.edits, r.start_word) for r in dc.matches(df, bench).collect())
-    assert got == [(1, 1, 0, 1), (2, 2, 0, 1), (3, 3, 0, 1), (5, 4, 0, 0), (10, 5, 0, 0)]
-    assert sorted(r.doc_id for r in dc.clean(df, bench).collect()) == [4, 6, 7, 8, 9, 11]
+    assert got == [(1, 1, 0, 1), (2, 2, 0, 1), (3, 3, 0, 1), (4, 3, 1, 0), (5, 4, 0, 0), (10, 5, 0, 0)]
+    assert sorted(r.doc_id for r in dc.clean(df, bench).collect()) == [6, 7, 8, 9, 11]
+    # without the rule on one and two words they match wherever they stand
+    anywhere = {(r.doc_id, r.item_id) for r in dc.matches(df, bench, whole=1).collect()}
+    assert anywhere == {(d, i) for d, i, *_ in got} | {(2, 4), (9, 4), (3, 5), (4, 5)}
