@@ -41,9 +41,11 @@ from .ship import map_arrow
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 #: Vectors of a block, and parts of a leaf (up to twice as many).
 BLOCK, LEAF = 8192, 16
-#: Cells of a distance table at most.
-_CELLS = 1 << 21
+#: Cells of a distance table at most (a leaf is never split).
+_CELLS = 1 << 20
 _LARGEST = 1 << 27
+#: Share of pairs kept by a level from which on the walk goes straight to the leaves.
+LITTLE = 0.75
 #: Labels with more than this share of the rows are broadcast: fewer than 1 / share of them.
 HEAVY = 0.001
 
@@ -120,6 +122,8 @@ def walk(tree: Tree, book: Tree) -> tuple[list, np.ndarray, np.ndarray]:
             # the greatest lead, over the box, of the pivot's distance on the entry's
             lead = (np.where(step > 0, step * high, step * low) + a * a - b * b).sum(1)
             keep &= (lead > 0) | ((lead == 0) & (book.order[pivot] >= book.order[other]))
+        # where a level's bounds prune little, those of the levels between it and the leaves would, too
+        steps = tree.depth - p if single and keep.mean() > LITTLE else min(1, tree.depth - p)
         node, other = node[keep], other[keep]
         at = _starts(node)
         size = np.diff(np.append(at, len(node)))
@@ -138,7 +142,7 @@ def walk(tree: Tree, book: Tree) -> tuple[list, np.ndarray, np.ndarray]:
                 edge = book.borders[e]
                 which, other = _expanded(edge[other], np.diff(edge)[other])
                 node, single = node[which], True
-        if p < tree.depth:
+        for _ in range(steps):
             at = _starts(node)
             size = np.diff(np.append(at, len(node)))
             which, place = _expanded(np.repeat(at, 2), np.repeat(size, 2))
@@ -152,24 +156,30 @@ def walk(tree: Tree, book: Tree) -> tuple[list, np.ndarray, np.ndarray]:
     node, other = node[order], other[order]
     entries = np.empty_like(book.rows)
     entries[book.order] = book.rows
+    # |x - e|^2 - |x|^2 = |e|^2 - 2 x e; in doubles it is exact as long as no sum of products leaves 53 bits
+    width = entries.shape[1]
+    largest = max(int(np.abs(x).max()) for x in (tree.low[0], tree.high[0], entries))
+    kind = np.float64 if 4 * width * (largest + 1) ** 2 < 1 << 53 else np.int64
+    rows, entries = tree.rows.astype(kind), entries.astype(kind)
+    square = (entries * entries).sum(1)
     edge = tree.borders[tree.depth]
     wide = int(np.diff(edge).max())
     at = _starts(node)
     size = np.diff(np.append(at, len(node)))
-    total = np.cumsum(size)
     found_rows, found_entries = [], []
+    # leaves with about as many entries left go together, the shorter lists padded by their last entry
+    by_size = np.argsort(size, kind="stable")
     i = 0
-    while i < len(at):
-        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _CELLS // (wide * book.rows.shape[1]), "right")))
-        leaves = node[at[i:j]]
+    while i < len(by_size):
+        j = i + 1
+        while j < len(by_size) and size[by_size[j]] <= size[by_size[i]] * 1.25 + 4 and (j + 1 - i) * wide * size[by_size[j]] <= _CELLS:
+            j += 1
+        own = by_size[i:j]
+        leaves = node[at[own]]
         row = np.minimum(edge[leaves][:, None] + np.arange(wide), edge[leaves + 1][:, None] - 1)
-        a = at[i]
-        b = at[j] if j < len(at) else len(node)
-        leaf = np.repeat(np.arange(j - i), size[i:j])
-        gap = tree.rows[row][leaf] - entries[other[a:b]][:, None, :]
-        gap = (gap * gap).sum(2)
-        best = np.minimum.reduceat(gap, at[i:j] - a, axis=0)
-        index = np.minimum.reduceat(np.where(gap == best[leaf], other[a:b][:, None], len(entries)), at[i:j] - a, axis=0)
+        left = other[at[own][:, None] + np.minimum(np.arange(size[own].max()), size[own][:, None] - 1)]
+        gap = square[left][:, None, :] - 2 * np.matmul(rows[row], entries[left].transpose(0, 2, 1))
+        index = np.take_along_axis(left, gap.argmin(2), 1)
         real = np.arange(wide) < np.diff(edge)[leaves][:, None]
         found_rows.append(row[real])
         found_entries.append(index[real])
