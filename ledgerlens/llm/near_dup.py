@@ -38,6 +38,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 0.8 ** 6 = 0.262; 40 bands miss a pair at 0.8 with probability 5e-6.
 BANDS, ROWS = 40, 6
+#: Share of the rows from which on a class is joined by broadcast.
+HEAVY = 0.001
 _CELLS = 1 << 20
 #: Cumulative Poisson(1) probabilities of 0, 1, 2, ... darts in a unit cell.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -310,10 +312,14 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     comp = scratch.write(components(found, scratch), "classes")
     worded = rows_.where("node is not null")
     placed = worded.join(comp, "node", "left").select("doc_id", "text_hash", F.coalesce("comp", "node").alias("comp"))
-    named = placed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    out = placed.join(named, "comp").select("doc_id", "text_hash", "class_id", "class_size")
-    return out.unionByName(rows_.where("node is null").select(
-        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))), [rows_, comp]
+    named = scratch.write(placed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "named")
+    # classes of more than a HEAVY share of the rows, fewer than 1 / HEAVY of them, are broadcast, so that no task gets one whole
+    most = HEAVY * (named.agg(F.sum("class_size")).first()[0] or 0)
+    heavy = F.broadcast(named.where(F.col("class_size") > most))
+    out = placed.join(heavy, "comp").unionByName(
+        placed.join(heavy, "comp", "left_anti").join(named.where(F.col("class_size") <= most), "comp"))
+    return out.select("doc_id", "text_hash", "class_id", "class_size").unionByName(rows_.where("node is null").select(
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))), [rows_, comp, named]
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -111,3 +111,40 @@ def test_edge_cases(spark):
     assert kept == sorted([1, 2, 3, 4, 5, None, 7], key=str)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.classes(empty).count() == 0 and near_dup.keep_one(empty).count() == 0
+
+
+def test_hot_group_without_its_source_is_linear(spark, monkeypatch):
+    """Near copies of a text that isn't there: several leads, yet each text emits its shingles once; classes as by all pairs."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for source in ([word() for _ in range(80)] for _ in range(2)):
+        for _ in range(110):
+            copy = list(source)
+            for _ in range(rng.choice([1, 2, 3])):
+                copy[rng.randrange(80)] = word()
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = []
+    own = near_dup._own_shingles
+    monkeypatch.setattr(near_dup, "_own_shingles", lambda pairs, texts: asked.append(pairs) or own(pairs, texts))
+    scratch = near_dup.Scratch(spark, "t")
+    sk = scratch.write(near_dup.sketch(df), "sketch")
+    links = near_dup.links(sk, df, scratch, few=0, holders=4)
+    for pairs in asked:
+        assert pairs.groupBy("node").count().where("count > 1").isEmpty()
+    comp = near_dup.components(links, scratch)
+    placed = sk.join(comp, "node", "left").selectExpr("doc_id", "coalesce(comp, node) comp").collect()
+    groups = defaultdict(list)
+    for r in placed:
+        groups[bytes(r.comp)].append(r.doc_id)
+    assert {i: min(g) for g in groups.values() for i in g} == brute_force(rows)
+
+
+def test_clashing_names_are_kept(spark):
+    rows = [(1, "a b c d e f", "p", 5), (2, "a b c d e f", "q", 6), (None, "x y", "r", 7), (None, "x y", "s", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, text_hash string, text_hash_ int")
+    kept = near_dup.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
+    assert {r.text_hash_ for r in kept.collect()} <= {5, 7, 8}
