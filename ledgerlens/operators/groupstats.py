@@ -16,6 +16,8 @@ Plan shape, per key:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import number
 from .encode import fold_of
 from .lookup import Lookup
-from .order_stats import (_RANK0, group_quantiles, quantiles_from_ranked,
-                          ranked_histogram, unpivot_numeric)
+from .order_stats import (_RANK0, group_quantiles, interpolated, null_safe_join, quantiles_from_ranked,
+                          ranked_counts, ranked_histogram, unpivot_numeric)
 
 ALL_STATS = ("mean", "std", "min", "max", "median")
 
@@ -97,7 +99,7 @@ def add_group_stats(df: DataFrame, key: str, cols: Sequence[str],
             # NaN has no rank, as null has none
             part = ranked.df.where(F.col("_gcol") == c).select(
                 key, F.col("_gval").alias("_gv"), (F.col(_RANK0) + 1).alias("_grank"))
-            out = Lookup(part, ranked.rows).join_to(
+            out = ranked.part(part).join_to(
                 out.withColumn("_gv", number(c)), [key, "_gv"], "left")
             out = out.withColumn(_name("rank_pct", c, key, template),
                                  F.col("_grank") / F.col("_gn")).drop("_gv", "_grank")
@@ -123,28 +125,59 @@ def target_stats_leaky(df: DataFrame, key: str, target: str, method: str = "exac
                           F.col(target).cast("double") - F.col(template.format(stat="mean", key=key)))
 
 
+def held_out_stats(df: DataFrame, by: Sequence[str], y: str, fold: str, folds: int) -> DataFrame:
+    """``by...`` and arrays ``n, mean, std, median`` of ``y``: element f leaves fold f out, element ``folds`` leaves none.
+
+    Moments are those of the single folds, merged; medians come from one
+    histogram per ``(by, y)`` with a count for each fold: a value's rank over
+    the other folds is its rank over all less its rank within the fold.  No row
+    is copied.  Groups without values outside a fold have null means and
+    medians there, and std 0 (as one value has).
+    """
+    by = list(by)
+    hist = df.where(F.col(y).isNotNull()).groupBy(*by, y).agg(
+        F.count(F.lit(1)).alias("_ca"), *[F.count_if(F.col(fold) == f).alias(f"_c{f}") for f in range(folds)])
+    return held_out_from_ranked(df, ranked_counts(hist, y, by, ["_ca", *[f"_c{f}" for f in range(folds)]]), by, y, fold, folds)
+
+
+def held_out_from_ranked(df: DataFrame, ranked: DataFrame, by: Sequence[str], y: str, fold: str, folds: int) -> DataFrame:
+    """``held_out_stats`` with the histogram ranked already (columns of ``ranked_counts`` for ``_ca``, ``_c0``, ...)."""
+    by = list(by)
+    per = df.groupBy(*by, fold).agg(F.count(y).alias("n"), F.avg(y).alias("mean"), (F.var_pop(y) * F.count(y)).alias("m2"))
+    parts = per.groupBy(*by).agg(F.collect_list(F.struct(F.col(fold).alias("f"), "n", "mean", "m2")).alias("_parts"))  # folds rows at most
+
+    def merged(f: int):
+        own = F.filter("_parts", lambda p: (p.f != f) & (p.n > 0))
+        total = lambda value: F.aggregate(F.transform(own, value), F.lit(0.0), lambda acc, v: acc + v)
+        n = total(lambda p: p.n.cast("double"))
+        mean = F.try_divide(total(lambda p: p.n * p.mean), n)
+        m2 = total(lambda p: p.m2 + p.n * (p.mean - mean) * (p.mean - mean))
+        return F.struct(n.alias("n"), mean.alias("mean"), F.when(n > 1, F.sqrt(m2 / (n - 1))).otherwise(F.lit(0.0)).alias("std"))
+
+    moments = parts.select(*by, F.array(*[merged(f) for f in range(folds + 1)]).alias("_m"))
+    medians = []
+    for f in range(folds):
+        count, rank0, n = (F.col(f"_ca{x}") - F.col(f"_c{f}{x}") for x in ("", "_rank0", "_n"))
+        medians.append(interpolated(0.5, F.col(y).cast("double"), count, rank0, n))
+    medians.append(interpolated(0.5, F.col(y).cast("double"), F.col("_ca"), F.col("_ca_rank0"), F.col("_ca_n")))
+    med = ranked.where(reduce(or_, [hit for hit, _ in medians])).groupBy(*by).agg(F.array(*[m for _, m in medians]).alias("median"))
+    return null_safe_join(moments, med, by).select(
+        *by, *[F.col(f"_m.{s}").alias(s) for s in ("n", "mean", "std")], "median")
+
+
 def target_stats_oof(df: DataFrame, key: str, target: str, row_key: Sequence[str],
-                     folds: int = 5, seed: int = 42, method: str = "exact",
+                     folds: int = 5, seed: int = 42,
                      template: str = "target_{stat}_by_{key}") -> DataFrame:
     """AG8 leak-safe: a row in fold f gets statistics of its group over the other folds.
 
     There is no deviation column here: next to the out-of-fold mean it would
-    give the row's own target away (mean + deviation = target).
-
-    The median is not subtractable, so each row is replicated to the
-    ``folds - 1`` held-out folds it serves (small constant factor, combined
-    map-side) and all three statistics are computed per ``(key, held_fold)``.
+    give the row's own target away (mean + deviation = target).  Rows of a
+    group that lies in one fold have null statistics.
     """
-    y = number(target)
     with_fold = df.withColumn("_fold", fold_of(row_key, folds, seed))
-    others = F.filter(F.array(*[F.lit(i) for i in range(folds)]), lambda f: f != F.col("_fold"))
-    spread = (with_fold.where(F.col(key).isNotNull())
-              .select(key, y.alias("_y"), F.explode(others).alias("_held")))
-    moments = spread.groupBy(key, "_held").agg(
-        F.avg("_y").alias(template.format(stat="mean", key=key)),
-        F.coalesce(F.stddev_samp("_y"), F.lit(0.0)).alias(template.format(stat="std", key=key)))
-    med = group_quantiles(spread, "_y", [0.5], by=[key, "_held"],
-                          names=[template.format(stat="median", key=key)], method=method)
-    table = Lookup.materialise(moments.join(med, [key, "_held"], "left")
-                               .withColumnRenamed("_held", "_fold"))
-    return table.join_to(with_fold, [key, "_fold"], "left")
+    rows = with_fold.where(F.col(key).isNotNull()).select(key, "_fold", number(target).alias("_y"))
+    names = {s: template.format(stat=s, key=key) for s in ("mean", "median", "std")}
+    stats = held_out_stats(rows, [key], "_y", "_fold", folds)
+    table = stats.select(key, F.posexplode(F.slice(F.arrays_zip("n", *names), 1, folds)).alias("_fold", "_s")).where("_s.n > 0").select(
+        key, "_fold", *[F.col(f"_s.{s}").alias(name) for s, name in names.items()])
+    return Lookup.materialise(table).join_to(with_fold, [key, "_fold"], "left")

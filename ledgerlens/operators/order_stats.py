@@ -13,7 +13,7 @@ through one primitive, ``ranked_histogram``:
    the cut (the rows are where they have to be: no window, no exchange);
 4. reliable checkpoint -- fixes the partition id of every row (a lost
    executor cannot re-sample different range bounds);
-5. per-partition offsets from a table of at most ``P + #groups`` rows, counted
+5. per-partition offsets from a table of at most ``P + #groups`` rows, measured
    and broadcast under the lookups' limit.
 
 The result is every distinct ``(group, value)`` with its exact 0-based rank
@@ -26,13 +26,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .lookup import DEFAULT_BROADCAST_ROWS, Lookup
+from .lookup import Lookup
 
 _C, _PID, _RANK0, _N = "_oc", "_opid", "_orank0", "_on"
 
@@ -76,43 +78,66 @@ def ranked_histogram(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
         df = df.where(~F.isnan(value))
     hist = (df.where(F.col(value).isNotNull())
               .groupBy(*by, value).agg(F.count(F.lit(1)).alias(_C)))
+    return ranked_counts(hist, value, by, [_C]).select(
+        *by, value, _C, F.col(f"{_C}_rank0").alias(_RANK0), F.col(f"{_C}_n").alias(_N))
+
+
+def ranked_counts(hist: DataFrame, value: str, by: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """A histogram of distinct ``(by..., value)`` with several count columns, ranked by each of them.
+
+    Adds, for each count ``c``, ``{c}_rank0`` (the sum of ``c`` over the group's
+    smaller values) and ``{c}_n`` (over the whole group).
+    """
+    by, counts = list(by), list(counts)
     order = [F.col(c).asc_nulls_first() for c in by] + [F.col(value).asc()]
-    ranged = (hist.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
-                  .withColumn(_PID, F.spark_partition_id()).withColumn("_obefore", F.lit(0).cast("bigint")))
-    ranged = cut_lineage(ranged.mapInArrow(_running_counts(ranged.columns), ranged.schema))
+    ranged = (hist.select(*by, value, *counts).repartitionByRange(_partitions(hist), *order).sortWithinPartitions(*order)
+              .withColumns({_PID: F.spark_partition_id(), **{f"{c}_before": F.lit(0).cast("bigint") for c in counts}}))
+    ranged = cut_lineage(ranged.mapInArrow(_running_counts(ranged.columns, counts), ranged.schema))
     # a group's rows in a partition follow each other: its first running count is what came before it there
-    summary = ranged.groupBy(_PID, *by).agg(F.sum(_C).alias("_opart"), F.min("_obefore").alias("_ostart"))
+    summary = ranged.groupBy(_PID, *by).agg(*[F.sum(c).alias(f"{c}_part") for c in counts],
+                                            *[F.min(f"{c}_before").alias(f"{c}_start") for c in counts])
     w_off = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = Lookup.materialise(summary.select(
         _PID, *by,
-        (F.coalesce(F.sum("_opart").over(w_off), F.lit(0)) - F.col("_ostart")).alias("_ooffset"),
-        F.sum("_opart").over(Window.partitionBy(*by)).alias(_N)))
+        *[(F.coalesce(F.sum(f"{c}_part").over(w_off), F.lit(0)) - F.col(f"{c}_start")).alias(f"{c}_offset") for c in counts],
+        *[F.sum(f"{c}_part").over(Window.partitionBy(*by)).alias(f"{c}_n") for c in counts]))
     joined = null_safe_join(ranged, offsets.df, [_PID, *by], "inner",
-                            broadcast_right=offsets.rows <= DEFAULT_BROADCAST_ROWS)
-    return joined.select(*by, value, _C,
-                         (F.col("_ooffset") + F.col("_obefore")).alias(_RANK0), _N)
+                            broadcast_right=offsets.small)
+    return joined.select(*by, value, *counts, *[(F.col(f"{c}_offset") + F.col(f"{c}_before")).alias(f"{c}_rank0") for c in counts],
+                         *[f"{c}_n" for c in counts])
 
 
-def _running_counts(columns: Sequence[str]):
-    """Arrow task: ``_obefore`` becomes the sum of ``_oc`` over the partition's earlier rows."""
-    count, before = list(columns).index(_C), list(columns).index("_obefore")
+def _running_counts(columns: Sequence[str], counts: Sequence[str]):
+    """Arrow task: ``{c}_before`` becomes the sum of ``c`` over the partition's earlier rows."""
+    places = [(list(columns).index(c), list(columns).index(f"{c}_before")) for c in counts]
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        total = 0
+        total = [0] * len(places)
         for batch in batches:
-            c = batch.column(count).to_numpy()
-            sums = total + np.cumsum(c)
-            total = int(sums[-1]) if len(sums) else total
-            yield batch.set_column(before, batch.schema.field(before), pa.array(sums - c, pa.int64()))
+            for i, (count, before) in enumerate(places):
+                c = batch.column(count).to_numpy()
+                sums = total[i] + np.cumsum(c)
+                total[i] = int(sums[-1]) if len(sums) else total[i]
+                batch = batch.set_column(before, batch.schema.field(before), pa.array(sums - c, pa.int64()))
+            yield batch
 
     return run
 
 
-def _contains(rank: Column) -> Column:
-    return (F.col(_RANK0) <= rank) & (rank < F.col(_RANK0) + F.col(_C))
+def _contains(rank: Column, count: Column | None = None, rank0: Column | None = None) -> Column:
+    first = F.col(_RANK0) if rank0 is None else rank0
+    return (first <= rank) & (rank < first + (F.col(_C) if count is None else count))
+
+
+def interpolated(prob: float, value: Column, count: Column, rank0: Column, n: Column) -> tuple[Column, Column]:
+    """Whether a ranked row bears on a quantile, and the quantile as an aggregate of such rows."""
+    pos = (n - 1) * F.lit(float(prob))
+    lo, hi = _contains(F.floor(pos), count, rank0), _contains(F.ceil(pos), count, rank0)
+    low, high = F.max(F.when(lo, value)), F.max(F.when(hi, value))
+    return lo | hi, low + (high - low) * F.max(pos - F.floor(pos))
 
 
 def quantiles_from_ranked(ranked: DataFrame, value: str, probs: Sequence[float],
@@ -120,22 +145,9 @@ def quantiles_from_ranked(ranked: DataFrame, value: str, probs: Sequence[float],
     """Linear-interpolated quantiles from a ``ranked_histogram`` (small output)."""
     by = list(by)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    pos = [(F.col(_N) - 1) * F.lit(float(p)) for p in probs]
-    lo = [F.floor(h) for h in pos]
-    hi = [F.ceil(h) for h in pos]
-    hit = None
-    for r in lo + hi:
-        hit = _contains(r) if hit is None else hit | _contains(r)
-    v = F.col(value).cast("double")
-    aggs = []
-    for i in range(len(probs)):
-        aggs.append(F.max(F.when(_contains(lo[i]), v)).alias(f"_olo{i}"))
-        aggs.append(F.max(F.when(_contains(hi[i]), v)).alias(f"_ohi{i}"))
-        aggs.append(F.max(pos[i] - lo[i]).alias(f"_ofr{i}"))
-    picked = ranked.where(hit).groupBy(*by).agg(*aggs)
-    return picked.select(*by, *[
-        (F.col(f"_olo{i}") + (F.col(f"_ohi{i}") - F.col(f"_olo{i}")) * F.col(f"_ofr{i}"))
-        .alias(names[i]) for i in range(len(probs))])
+    both = [interpolated(p, F.col(value).cast("double"), F.col(_C), F.col(_RANK0), F.col(_N)) for p in probs]
+    return ranked.where(reduce(or_, [hit for hit, _ in both])).groupBy(*by).agg(
+        *[q.alias(name) for (_, q), name in zip(both, names)])
 
 
 def group_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -198,7 +210,7 @@ def rank_min(df: DataFrame, value: str, by: Sequence[str] = (),
     lut = Lookup.materialise(ranked)
     keys = [*by, value]
     return null_safe_join(df, lut.df, keys, "left",
-                          broadcast_right=lut.rows <= 250_000)
+                          broadcast_right=lut.small)
 
 
 def qcut_edges(df: DataFrame, col: str, q: int, method: str = "exact") -> list[float]:
