@@ -84,6 +84,16 @@ def blend(pred_a: Column, pred_b: Column, weight: float = BLEND_WEIGHT) -> Colum
     return F.lit(weight) * pred_a + F.lit(1.0 - weight) * pred_b
 
 
+def keep_blend_if_better(metrics: DataFrame, base: str, blended: str, split: str = "test") -> DataFrame:
+    """MD4: adds ``chosen``: of ``base`` and ``blended`` the blend only if its R² on ``split`` is higher, else the base model."""
+    on = metrics.where((F.col("split") == split) & F.col("model").isin(base, blended))
+    one = on.agg(*[F.max(F.when(F.col("model") == m, F.col("r2"))).alias(f"_{i}") for i, m in enumerate((base, blended))])
+    better = F.coalesce(F.col("_1") > F.col("_0"), F.lit(False))
+    return (metrics.crossJoin(F.broadcast(one))   # one row
+            .withColumn("chosen", F.when(F.col("model") == base, ~better).when(F.col("model") == blended, better).otherwise(F.lit(True)))
+            .drop("_0", "_1"))
+
+
 def blended_importances(a: Sequence[float], b: Sequence[float], weight: float = BLEND_WEIGHT) -> list[float]:
     """MD4: ``w * a + (1 - w) * b`` of two models' importances over the same features."""
     return [weight * x + (1.0 - weight) * y for x, y in zip(a, b, strict=True)]

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import number
 from ..session import write_stage
+from .lookup import DEFAULT_BROADCAST_BYTES, Lookup
 
 # Fixed values of the reference's feature set.
 RFF_GAMMAS = (0.1, 0.5, 1.0, 5.0)
@@ -131,6 +132,25 @@ def distances(z: Column, centers: np.ndarray) -> list[Column]:
     return [one(c) for c in np.asarray(centers, dtype=float)]
 
 
+def distances_to(df: DataFrame, centres: DataFrame, vector: str, centre: str, block_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """FT5 for a table of centres of any size: every row with every centre's columns and ``distance``.
+
+    The result has rows x centres rows by definition.  The centres are dealt
+    into blocks of at most about ``block_bytes``, and the rows meet one broadcast block
+    after the other.
+    """
+    stored = Lookup.materialise(centres)
+    blocks = max(1, -(-stored.bytes // block_bytes))
+    part = F.pmod(F.xxhash64(*stored.df.columns), F.lit(blocks))
+    out = None
+    for b in range(blocks):
+        own = stored.df.where(part == b) if blocks > 1 else stored.df
+        met = df.crossJoin(F.broadcast(own))
+        out = met if out is None else out.unionByName(met)
+    sq = F.aggregate(F.zip_with(vector, centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
+    return out.withColumn("distance", F.sqrt(sq))
+
+
 def transform_kmeans(df: DataFrame, models: list[tuple[KMeansFeatures, str, str]]) -> DataFrame:
     """FT4/FT5 for several fitted models, in the JVM.
 

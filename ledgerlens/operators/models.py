@@ -2,21 +2,26 @@
 
 Parameter names of the reference's learners are mapped to Spark ML (see
 ``map_params``); options without a Spark counterpart raise instead of being
-silently ignored.  Training data is assembled once and persisted for the
-duration of a search.
+silently ignored.  Early stopping (TN3) reads the validation loss of every
+prefix of a boosted ensemble in one pass and keeps the best prefix before
+``PATIENCE`` rounds went by without a better one.  The search (TN1) draws from
+the densities of good and bad earlier draws and ends poor draws early.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import random
+import statistics
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fitted import assemble
@@ -30,12 +35,13 @@ FOREST_BASELINE = {"n_estimators": 200, "max_depth": 20}
 FOREST_SPACE = {
     "n_estimators": (400, 800),
     "max_depth": (20, MAX_DEPTH_LIMIT),
+    "min_samples_split": (2, 15),
     "min_samples_leaf": (1, 10),
     "max_features": ("sqrt", "log2", None),
     "max_samples": (0.7, 0.9),
 }
-EXTRA_TREES = {"n_estimators": 500, "max_depth": 25, "min_samples_leaf": 2,
-               "max_features": "sqrt"}
+EXTRA_TREES = {"n_estimators": 500, "max_depth": 25, "min_samples_split": 5,
+               "min_samples_leaf": 2, "max_features": "sqrt"}
 BOOST_A_SETS = [
     {"max_depth": 3, "learning_rate": 0.1, "n_estimators": 300, "min_child_weight": 1,
      "subsample": 0.9, "colsample_bytree": 0.9, "gamma": 0.1, "reg_alpha": 0.1, "reg_lambda": 1.0},
@@ -51,10 +57,17 @@ BOOST_B_SETS = [
 ]
 SEARCH_DRAWS = 20
 CV_FOLDS = 3
+PATIENCE = 50
+
+# draws before the densities take over, share of draws that count as good, candidates a draw is chosen from
+STARTUP_DRAWS, GOOD_SHARE, CANDIDATES = 5, 0.25, 24
+# memory for the histograms of one pass over the rows; node ids are kept with the rows, not recomputed from the root
+TREE_MEMORY = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 _UNSUPPORTED = {"reg_alpha", "reg_lambda", "bagging_temperature", "random_strength",
                 "l2_leaf_reg", "min_samples_split"}
 REGULARISERS = ("reg_alpha", "reg_lambda", "l2_leaf_reg")
+SPLIT_SIZE = ("min_samples_split",)
 _FEATURE_SUBSET = {"sqrt": "sqrt", "log2": "log2", None: "all", "auto": "auto"}
 
 
@@ -85,6 +98,8 @@ def map_params(params: dict, boosted: bool, without: Sequence[str] = ()) -> dict
             out["featureSubsetStrategy"] = str(float(v))
         elif k == "gamma":
             out["minInfoGain"] = float(v)
+        elif k == "bootstrap" and not boosted:
+            out["bootstrap"] = bool(v)
         elif k in ("criterion", "bootstrap", "random_state", "n_jobs", "verbosity",
                    "thread_count", "verbose", "loss_function", "random_seed"):
             continue
@@ -96,24 +111,52 @@ def map_params(params: dict, boosted: bool, without: Sequence[str] = ()) -> dict
 
 
 def forest(params: dict | None = None, features: str = "features", label: str = "label",
-           seed: int = SEED) -> RandomForestRegressor:
-    """MD2 / MD3: random forest regressor."""
-    p = map_params(params or {}, boosted=False)
+           seed: int = SEED, without: Sequence[str] = ()) -> RandomForestRegressor:
+    """MD2 / MD3: random forest regressor; every feature is tried at a split unless the parameters say otherwise.
+
+    ``without`` names parameters left out: Spark's trees have no least size of a node to split.
+    """
+    p = {"featureSubsetStrategy": "all", **map_params(params or {}, boosted=False, without=without)}
     return RandomForestRegressor(featuresCol=features, labelCol=label, seed=seed,
-                                 impurity="variance", **p)
+                                 impurity="variance", **TREE_MEMORY, **p)
 
 
 def boosted(params: dict | None = None, features: str = "features", label: str = "label",
-            seed: int = SEED, validation_col: str | None = None,
-            tol: float = 0.01, without: Sequence[str] = REGULARISERS) -> GBTRegressor:
-    """MD5 / MD6: gradient-boosted trees; TN3 early stop via ``validationIndicatorCol``.
+            seed: int = SEED, rounds: int | None = None, without: Sequence[str] = REGULARISERS) -> GBTRegressor:
+    """MD5 / MD6: gradient-boosted trees; ``rounds`` replaces the parameters' number of trees.
 
     ``without`` names parameters left out: Spark's trees have no leaf-weight penalties.
     """
     p = map_params(params or {}, boosted=True, without=without)
-    if validation_col:
-        p.update(validationIndicatorCol=validation_col, validationTol=tol)
-    return GBTRegressor(featuresCol=features, labelCol=label, seed=seed, **p)
+    if rounds:
+        p["maxIter"] = rounds
+    return GBTRegressor(featuresCol=features, labelCol=label, seed=seed, maxMemoryInMB=TREE_MEMORY["maxMemoryInMB"], **p)
+
+
+def best_prefix(curve: Sequence[float], patience: int = PATIENCE) -> int:
+    """TN3: number of rounds with the lowest loss before ``patience`` rounds went by without a lower one."""
+    best = 0
+    for i, loss in enumerate(curve):
+        if loss < curve[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def truncated(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of a boosted ensemble's first trees (Spark ML model like any other: transform, save)."""
+    if rounds >= model.getNumTrees:
+        return model
+    sc = SparkContext._active_spark_context
+    java, ml = model._java_obj, sc._jvm.org.apache.spark.ml.regression
+    trees = sc._gateway.new_array(ml.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    own = GBTRegressionModel(ml.GBTRegressionModel(f"{java.uid()}-{rounds}", trees, weights, java.numFeatures()))
+    return own.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
 @dataclass
@@ -123,6 +166,8 @@ class Trained:
     features: list[str]
     params: dict = field(default_factory=dict)
     score: float | None = None
+    rounds: int | None = None                       # TN3: trees kept
+    draws: list[dict] = field(default_factory=list)  # TN1: every draw with its scores
 
     def predict(self, assembled: DataFrame, out: str = "p") -> DataFrame:
         return self.model.transform(assembled).withColumnRenamed("prediction", out)
@@ -156,36 +201,113 @@ def explicit_grid(name: str, make, param_sets: Sequence[dict], train: DataFrame,
     return best
 
 
-def random_search(train: DataFrame, features: Sequence[str], space: dict = FOREST_SPACE,
-                  draws: int = SEARCH_DRAWS, folds: int = CV_FOLDS, fold_col: str = "fold",
-                  seed: int = SEED, parallelism: int = 2) -> Trained:
-    """TN1: seeded random draws from the search space, k-fold CV on ``fold_col``, R².
+def early_stopped(name: str, param_sets: Sequence[dict], train: DataFrame, valid: DataFrame,
+                  features: Sequence[str], patience: int = PATIENCE, max_bins: int = 32) -> Trained:
+    """TN2 + TN3: boost with every parameter set, cut each ensemble at its best prefix, keep the best R².
+
+    ``valid`` gives the loss after every round (one pass over its rows for all
+    prefixes); ties go to the first set.
+    """
+    best: Trained | None = None
+    for params in param_sets:
+        model = boosted(params).setMaxBins(max_bins).fit(train)
+        rounds = best_prefix(model.evaluateEachIteration(valid, "squared"), patience)
+        model = truncated(model, rounds)
+        score = r2_of(model, valid)
+        if best is None or score > best.score:
+            best = Trained(name, model, list(features), dict(params), score, rounds)
+    return best
+
+
+# TN1 ------------------------------------------------------------------------
+
+def _span(v) -> bool:
+    return isinstance(v, tuple) and len(v) == 2 and all(isinstance(x, (int, float)) for x in v)
+
+
+def _whole(v) -> bool:
+    return all(isinstance(x, int) for x in v)
+
+
+def _random_draw(space: dict, rng: random.Random) -> dict:
+    return {k: (rng.randint(*v) if _whole(v) else rng.uniform(*v)) if _span(v) else rng.choice(list(v)) for k, v in space.items()}
+
+
+def _density(value, seen: Sequence, v) -> float:
+    """Density of one parameter's value among earlier draws: kernels on a range, counts of choices, and a uniform part."""
+    if not _span(v):
+        return (1 + sum(x == value for x in seen)) / (len(list(v)) + len(seen))
+    width = (v[1] - v[0]) or 1.0
+    h = width / max(2.0, len(seen) ** 0.5 + 1)
+    near = sum(math.exp(-0.5 * ((value - x) / h) ** 2) / (h * math.sqrt(2 * math.pi)) for x in seen)
+    return (1 / width + near) / (1 + len(seen))
+
+
+def _near_draw(good: Sequence[dict], space: dict, rng: random.Random) -> dict:
+    """A draw from the density of the good draws."""
+    out = {}
+    for k, v in space.items():
+        centre = rng.choice([None, *[g[k] for g in good]])
+        if centre is None or not _span(v):
+            out[k] = centre if centre is not None and not _span(v) else _random_draw({k: v}, rng)[k]
+            continue
+        h = ((v[1] - v[0]) or 1.0) / max(2.0, len(good) ** 0.5 + 1)
+        x = min(max(rng.gauss(centre, h), v[0]), v[1])
+        out[k] = round(x) if _whole(v) else x
+    return out
+
+
+def next_draw(done: Sequence[tuple[dict, float]], space: dict, rng: random.Random) -> dict:
+    """TN1: the next parameters, given the earlier draws and their scores (higher is better).
+
+    Random at first; then, of ``CANDIDATES`` draws near the good ones, that
+    whose density among the good draws most exceeds that among the others.
+    """
+    if len(done) < STARTUP_DRAWS:
+        return _random_draw(space, rng)
+    ranked = [p for p, _ in sorted(done, key=lambda d: -d[1])]
+    cut = max(1, math.ceil(GOOD_SHARE * len(ranked)))
+    good, bad = ranked[:cut], ranked[cut:]
+
+    def gain(p: dict) -> float:
+        return sum(math.log(_density(p[k], [g[k] for g in good], v) / _density(p[k], [b[k] for b in bad], v)) for k, v in space.items())
+
+    return max((_near_draw(good, space, rng) for _ in range(CANDIDATES)), key=gain)
+
+
+def model_search(train: DataFrame, features: Sequence[str], space: dict = FOREST_SPACE,
+                 draws: int = SEARCH_DRAWS, folds: int = CV_FOLDS, fold_col: str = "fold",
+                 seed: int = SEED, without: Sequence[str] = SPLIT_SIZE) -> Trained:
+    """TN1: sequential draws, each scored by k-fold R² on ``fold_col``; the best is fitted on all rows.
 
-    (The reference's Bayesian surrogate is a single-machine solver; the
-    search itself -- draws x folds fits -- is what runs here, in parallel.)
+    After each fold a draw whose mean is below the median mean of the completed
+    draws after as many folds ends there; its score is that mean.  Only completed
+    draws can win (ties: the first).  ``draws`` of the result lists them all.
+    (The reference's Gaussian-process surrogate is a single-machine solver; draws
+    from the densities of good and bad draws take its place.)
     """
     rng = random.Random(seed)
-    est = forest(seed=seed)
-    maps = []
-    for _ in range(draws):
-        drawn = {}
-        for k, v in space.items():
-            if isinstance(v, tuple) and len(v) == 2 and all(isinstance(x, int) for x in v):
-                drawn[k] = rng.randint(v[0], v[1])
-            elif isinstance(v, tuple) and len(v) == 2 and all(isinstance(x, float) for x in v):
-                drawn[k] = rng.uniform(v[0], v[1])
-            else:
-                drawn[k] = rng.choice(list(v))
-        mapped = map_params(drawn, boosted=False)
-        maps.append({getattr(est, k): v for k, v in mapped.items()})
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(metricName="r2", labelCol="label"),
-                        foldCol=fold_col, parallelism=parallelism, seed=seed)
-    cv_model = cv.fit(train)
-    best_i = max(range(len(maps)), key=lambda i: (cv_model.avgMetrics[i], -i))
-    params = {p.name: v for p, v in maps[best_i].items()}
-    return Trained("random_forest", cv_model.bestModel, list(features), params,
-                   cv_model.avgMetrics[best_i])
+    seen: list[dict] = []
+    for i in range(draws):
+        params = next_draw([(d["params"], d["score"]) for d in seen], space, rng)
+        scores: list[float] = []
+        for f in range(folds):
+            model = forest(params, seed=seed, without=without).fit(train.where(F.col(fold_col) != f))
+            scores.append(r2_of(model, train.where(F.col(fold_col) == f)))
+            so_far = [statistics.fmean(d["folds"][:f + 1]) for d in seen if d["completed"]]
+            if f + 1 < folds and len(so_far) >= STARTUP_DRAWS and statistics.fmean(scores) < statistics.median(so_far):
+                break
+        seen.append({"draw": i, "params": params, "folds": scores, "score": statistics.fmean(scores), "completed": len(scores) == folds})
+    best = max((d for d in seen if d["completed"]), key=lambda d: (d["score"], -d["draw"]))
+    return Trained("random_forest", forest(best["params"], seed=seed, without=without).fit(train), list(features),
+                   best["params"], best["score"], draws=seen)
+
+
+def draw_table(spark: SparkSession, trained: Trained) -> DataFrame:
+    """TN1: ``draw, params (JSON), folds_done, completed, score, chosen`` of a search."""
+    rows = [(d["draw"], json.dumps(d["params"], sort_keys=True), len(d["folds"]), d["completed"], float(d["score"]),
+             d["params"] is trained.params) for d in trained.draws]
+    return spark.createDataFrame(rows, "draw int, params string, folds_done int, completed boolean, score double, chosen boolean")
 
 
 def save(model, path: str) -> str:

@@ -2,9 +2,9 @@
 
 A pair's correlation is over the rows where both values are there (neither
 null nor NaN), whatever the other columns hold and however many there are;
-a constant column yields NULL.  Up to ``MAX_PAIRWISE`` columns the pairs are one
-aggregate; more columns take the same sums from Gram matrices of the values
-and their masks (``_gram_corr``), which Spark adds up block by block.
+a constant column yields NULL.  The matrix of any number of columns comes from
+Gram matrices of the values and their masks, which Spark adds up block by block;
+correlations with one target are one aggregate.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from ..functions.scalar import number
 from .bins import fit_quantile_binner
 
-MAX_PAIRWISE = 40          # columns; beyond, the same sums come from Gram matrices
 GRAM_BUCKETS = 512         # first level of the sum of the tasks' Gram blocks
 PRUNE_THRESHOLD = 0.95     # R19: |r| above which the later column is dropped
 MI_BINS = 10               # FS1: quantile bins on each side
@@ -48,29 +47,13 @@ def target_correlations(df: DataFrame, cols: Sequence[str], target: str) -> Data
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """AG10 long form ``i, j, feature_i, feature_j, r`` for all ordered pairs (i != j)."""
-    cols = list(cols)
-    if len(cols) > MAX_PAIRWISE:
-        return _gram_corr(df, cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    wide = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in pairs])
-    rows = []
-    for i, j in pairs:
-        for a, b in ((i, j), (j, i)):
-            rows.append(F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"),
-                                 F.lit(cols[a]).alias("feature_i"),
-                                 F.lit(cols[b]).alias("feature_j"),
-                                 F.col(f"_r{i}_{j}").alias("r")))
-    return wide.select(F.explode(F.array(*rows)).alias("_x")).select("_x.*")
-
+    """AG10 long form ``i, j, feature_i, feature_j, r`` for all ordered pairs (i != j).
 
-def _gram_corr(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The matrix of many columns: per pair n, sums, squares and products over complete pairs.
-
-    Values are shifted by their means and scaled first (one aggregate), which
+    Per pair n, sums, squares and products over complete pairs.  Values are shifted by their means and scaled first (one aggregate), which
     changes no correlation and keeps the sums well conditioned.  Each task
     emits one block of k x k sums; blocks meet in buckets, then in one row.
     """
+    cols = list(cols)
     k = len(cols)
     row = df.agg(*[f(number(c)) for c in cols for f in (F.avg, F.stddev_samp)]).first()
     mid = np.array([row[2 * i] or 0.0 for i in range(k)])
@@ -119,19 +102,18 @@ def top_signed(corrs: DataFrame, k: int = TOP_HEATMAP, exclude: Sequence[str] =
 
 def prune_correlated(df: DataFrame, cols: Sequence[str],
                      threshold: float = PRUNE_THRESHOLD) -> DataFrame:
-    """Drop a column when |r| with any *earlier* column exceeds the threshold.
+    """In order, keep a column unless its |r| with a column kept before exceeds the threshold.
 
-    Output ``feature, position, kept`` (the upper-triangle rule).
+    A column that goes takes no other with it.  Output ``feature, position,
+    kept``; the driver holds the pairs of columns above the threshold.
     """
     cols = list(cols)
-    m = correlation_matrix(df, cols)
-    drop = (m.where((F.col("j") < F.col("i")) & (F.abs("r") > threshold))
-             .select(F.col("i").alias("position")).distinct())
-    spark = df.sparkSession
-    feats = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, feature string")
-    # ``drop`` has at most one row per input column: a proven bound
-    return feats.join(F.broadcast(drop.withColumn("_d", F.lit(1))), "position", "left").select(
-        "feature", "position", F.col("_d").isNull().alias("kept"))
+    close = {(r.i, r.j) for r in correlation_matrix(df, cols).where((F.col("j") < F.col("i")) & (F.abs("r") > threshold)).collect()}
+    kept: list[int] = []
+    for i in range(len(cols)):
+        if not any((i, j) in close for j in kept):
+            kept.append(i)
+    return df.sparkSession.createDataFrame([(c, i, i in set(kept)) for i, c in enumerate(cols)], "feature string, position int, kept boolean")
 
 
 def binned_mutual_information(df: DataFrame, cols: Sequence[str], target: str,

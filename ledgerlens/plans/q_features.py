@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import encode as EN
 from ..operators.bins import fit_quantile_binner
-from ..operators.fitted import RFF_GAMMAS, distances, fit_random_fourier
+from ..operators.fitted import RFF_GAMMAS, distances_to, fit_random_fourier
 from ..operators.groupstats import add_group_stats, target_stats_leaky, target_stats_oof
 from ..operators.profile import skewness_g1
 from ..operators.scale import fit_minmax_scaler, fit_robust_scaler, fit_standard_scaler
@@ -406,9 +405,6 @@ def ft3_rff(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- FT5
 
-MAX_CENTROIDS = 1000   # classes; each is a literal of the plan and a row of the result per vector
-
-
 @query("ft5_centroid_dist", """WITH ex AS (
   SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i
   FROM embeddings),
@@ -421,14 +417,8 @@ def ft5_centroid_dist(spark: SparkSession, sf: str) -> DataFrame:
     ex = emb.select("label", F.posexplode("embedding").alias("i", "v"))
     cent = ex.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("cv"))
     cent = cent.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "cv"))), lambda x: x["cv"]).alias("c"))
-    found = cent.orderBy("label").limit(MAX_CENTROIDS + 1).collect()
-    if len(found) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} classes: rows x classes distances are not meant for so many")
-    z = F.transform("embedding", lambda v: v.cast("double"))
-    dists = [F.struct(F.lit(r["label"]).cast("bigint").alias("centroid"), d.alias("dist"))
-             for r, d in zip(found, distances(z, np.array([r["c"] for r in found])))]
-    out = emb.select("vec_id", F.explode(F.array(*dists)).alias("_d"))
-    return out.select("vec_id", "_d.centroid", rnd("_d.dist").alias("dist"))
+    out = distances_to(emb.select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("z")), cent, "z", "c")
+    return out.select("vec_id", F.col("label").cast("bigint").alias("centroid"), rnd("distance").alias("dist"))
 
 
 # ---------------------------------------------------------------- FT7

@@ -99,15 +99,14 @@ def _prune_frame(spark: SparkSession, sf: str) -> DataFrame:
 def _prune_sql() -> str:
     cols = ", ".join(["fines", "taxpayers", "fines * fines AS fines_squared",
                       "fines * taxpayers AS fines_x_taxpayers", "amount", "year", "month"])
-    rows = []
-    for j, b in enumerate(PRUNE):
-        conds = [f"coalesce(abs(corr({a}, {b})) > 0.95, false)" for a in PRUNE[:j]]
-        if conds:
-            rows.append(f"SELECT '{b}' AS feature, CAST({j} AS INTEGER) AS position, "
-                        f"NOT ({' OR '.join(conds)}) AS kept FROM x")
-        else:
-            rows.append(f"SELECT '{b}' AS feature, CAST({j} AS INTEGER) AS position, true AS kept")
-    return f"{W}, x AS (SELECT {cols} FROM facts)\n" + "\nUNION ALL\n".join(rows)
+    near = ", ".join(f"coalesce(abs(corr({a}, {b})) > 0.95, false) AS n{i}_{j}"
+                     for j, b in enumerate(PRUNE) for i, a in enumerate(PRUNE[:j]))
+    # a column stays unless it is near one that stayed before it
+    steps = ["k0 AS (SELECT *, true AS kept0 FROM c)"] + [
+        f"k{j} AS (SELECT *, NOT ({' OR '.join(f'(kept{i} AND n{i}_{j})' for i in range(j))}) AS kept{j} FROM k{j - 1})"
+        for j in range(1, len(PRUNE))]
+    rows = [f"SELECT '{b}' AS feature, CAST({j} AS INTEGER) AS position, kept{j} AS kept FROM k{len(PRUNE) - 1}" for j, b in enumerate(PRUNE)]
+    return f"{W}, x AS (SELECT {cols} FROM facts), c AS (SELECT {near} FROM x), {', '.join(steps)}\n" + "\nUNION ALL\n".join(rows)
 
 
 @query("r19_prune", _prune_sql())

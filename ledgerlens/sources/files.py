@@ -94,23 +94,36 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def headers_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The first line of every file, and the files that have it, from one job over all files."""
+    lines = spark.read.text(list(paths)).where(F.col("_metadata.file_block_start") == 0)
+    first = lines.select(F.col("_metadata.file_path").alias("path"), F.struct(F.monotonically_increasing_id().alias("at"), "value").alias("line"))
+    rows = first.groupBy("path").agg(F.min("line")["value"].alias("header")).collect()  # a row for each file
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: r.path):
+        out.setdefault(r.header, []).append(r.path)
+    return out
+
+
 def ingest(spark: SparkSession, inputs: str | Sequence[str], schema=None, sep: str = ",",
            source_col: str | None = "source_file") -> DataFrame:
     """IO3: expand, read every file, clean each (PR7, PR9, PR8) and union (ST1).
 
-    Files are read as separate scans because their headers may differ.  Which
-    of a file's columns are empty (PR8) comes from one aggregate over the union
-    of all files, not from a job for each.  ``source_col`` records the file.
+    One job finds all headers; files of one header are one scan, so that the
+    plan grows with the number of headers, not of files.  A column that is empty
+    in a file is null in that file's rows of the union anyway; which columns
+    are empty in all files (PR8) comes from one aggregate.  ``source_col``
+    takes the file from the scan's metadata.  Empty files add no rows.
     """
-    paths = expand_inputs(spark, inputs)
-    frames = [drop_all_null_rows(placeholder_headers(read_csv(spark, path, schema=schema, sep=sep))) for path in paths]
-    every = union_by_name([df.select(F.lit(i).alias("_file"), *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-                           for i, df in enumerate(frames)])
-    names = [c for c in every.columns if c != "_file"]
-    counts = {r[0]: r[1:] for r in every.groupBy("_file").agg(*[F.count(F.col(f"`{c}`")) for c in names]).collect()}
-    out = []
-    for i, (path, df) in enumerate(zip(paths, frames)):
-        full = {c for c, n in zip(names, counts.get(i, [0] * len(names))) if n}
-        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c in full])
-        out.append(df.withColumn(source_col, F.lit(path)) if source_col else df)
-    return union_by_name(out)
+    frames = []
+    for paths in headers_of(spark, expand_inputs(spark, inputs)).values():
+        df = read_csv(spark, paths, schema=schema, sep=sep)
+        names = placeholder_headers(df).columns
+        rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)],
+                         *([F.col("_metadata.file_path").alias(source_col)] if source_col else []))
+        frames.append(rows.na.drop("all", subset=names))
+    every = union_by_name(frames)
+    names = [c for c in every.columns if c != source_col]
+    counts = every.agg(*[F.count(F.col(f"`{c}`")) for c in names]).first()
+    full = [c for c, n in zip(names, counts) if n]
+    return every.select(*[F.col(f"`{c}`") for c in full], *([source_col] if source_col else []))
