@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_charts, q_features, q_models, q_profile, q_select  # noqa: F401
+from . import q_charts, q_exact, q_features, q_models, q_profile, q_select  # noqa: F401
 from .registry import HEADLINE, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "HEADLINE"]
