@@ -8,7 +8,10 @@ level's own overdispersion gives by moments.  A host is blocked where the
 lower bound of its posterior (mean - ``Z`` standard deviations) exceeds
 ``BAD_RATE``.
 
-The registered domain is a host's last two labels, the suffix its last.
+The suffix of a host is the longest of ``suffixes`` (like ``co.uk``; a parameter,
+empty by default) that it ends with, else its last label; the registered domain
+is the suffix and the label before it.  Hosts are counted once, into a table in
+the checkpoint folder, from which all levels are read.
 Counts combine before each shuffle, so that a hot host costs no more than
 others; only three numbers (the levels' overdispersions) reach the driver.
 
@@ -23,8 +26,13 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .scratch import Scratch
+
 Z = 1.645
 BAD_RATE = 0.5
 #: (host, path prefix, verdict)
@@ -57,29 +65,38 @@ def overdispersion(units: DataFrame) -> float:
     return min(0.5, max(0.001, r.over / r.room)) if r.room else 0.5
 
 
-def reputations(hosts: DataFrame) -> DataFrame:
+def registered(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host."""
+    domain, suffix = F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0), F.element_at(F.split(host, r"\."), -1)
+    for s in sorted(suffixes, key=len):
+        fits = (host == s) | host.endswith("." + s)
+        domain = F.when(fits, F.regexp_extract(host, r"([^.]*\.)?" + re.escape(s) + "$", 0)).otherwise(domain)
+        suffix = F.when(fits, F.lit(s)).otherwise(suffix)
+    return domain, suffix
+
+
+def reputations(hosts: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """(host, n, bad) -> host, low: the posterior's lower bound; shrunk from host to domain to suffix."""
-    labels = F.split("host", r"\.")
-    units = hosts.select("host", "n", "bad", F.regexp_extract("host", r"([^.]*\.)?[^.]*$", 0).alias("domain"),
-                         F.element_at(labels, -1).alias("suffix"))
+    domain, suffix = registered(F.col("host"), suffixes)
+    units = hosts.select("host", "n", "bad", domain.alias("domain"), suffix.alias("suffix"))
     domains = units.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    all_ = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    all_ = tops.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     rate = all_.bad / all_.n if all_.n else 0.0
 
     def posterior(level: DataFrame) -> tuple[DataFrame, float]:
         m = 1 / overdispersion(level) - 1
         return level.withColumn("mean", (F.col("bad") + m * F.col("prior")) / (F.col("n") + m)), m
 
-    suffixes, _ = posterior(suffixes.withColumn("prior", F.lit(rate)))
-    domains, _ = posterior(domains.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"))
+    tops, _ = posterior(tops.withColumn("prior", F.lit(rate)))
+    domains, _ = posterior(domains.join(tops.select("suffix", F.col("mean").alias("prior")), "suffix"))
     out, m = posterior(units.join(domains.select("domain", F.col("mean").alias("prior")), "domain"))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + m + 1))
     return out.select("host", (F.col("mean") - Z * sd).alias("low"))
 
 
 def judged(pages: DataFrame, labels: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
-           label_id_col: str = "doc_id", bad_rate: float = BAD_RATE) -> DataFrame:
+           label_id_col: str = "doc_id", bad_rate: float = BAD_RATE, suffixes: Sequence[str] = ()) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
     host, path = host_path(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -87,8 +104,9 @@ def judged(pages: DataFrame, labels: DataFrame, rules=RULES, id_col: str = "page
         F.max(F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1).when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0)).alias("bad"))
     known = parsed.where("page_id is not null").join(outcome, "page_id").groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad"))
     hosts = parsed.select("host", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bad")).distinct().unionByName(known)
-    hosts = hosts.groupBy("host").agg(F.sum("n").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = Scratch(pages.sparkSession, "hosts").write(
+        hosts.groupBy("host").agg(F.sum("n").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "hosts")
     rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
-    return parsed.join(reputations(hosts), "host").select(
+    return parsed.join(reputations(hosts, suffixes), "host").select(
         "page_id", "host", "path", rule.alias("rule"),
         F.coalesce(verdict, F.when(F.col("low") > bad_rate, "block").otherwise("allow")).alias("verdict"))

@@ -58,3 +58,13 @@ def test_reputation_blocks_bad_hosts_only(spark):
     verdicts = {r.host: r.verdict for r in got}
     assert (verdicts["bad.b.net"], verdicts["good.a.net"], verdicts["mixed.c.net"]) == ("block", "allow", "allow")
     assert ur.judged(pages.limit(0), labels).count() == 0
+
+
+def test_suffixes_of_several_labels(spark):
+    hosts = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("x.org.uk",), ("uk",), ("a.b.c.d",), ("",)], "host string")
+    cut = lambda s: {r.host: (r.domain, r.suffix) for r in hosts.select("host", *(
+        c.alias(n) for c, n in zip(ur.registered(hosts.host, s), ("domain", "suffix")))).collect()}
+    assert cut(()) == {"a.b.co.uk": ("co.uk", "uk"), "co.uk": ("co.uk", "uk"), "x.org.uk": ("org.uk", "uk"), "uk": ("uk", "uk"),
+                       "a.b.c.d": ("c.d", "d"), "": ("", "")}
+    assert cut(("co.uk", "b.co.uk"))["a.b.co.uk"] == ("a.b.co.uk", "b.co.uk")
+    assert cut(("co.uk",)) == cut(()) | {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk")}
