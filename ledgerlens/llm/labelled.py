@@ -1,10 +1,30 @@
-"""Bounded samples of labelled documents."""
+"""Bounded samples of documents, labelled or not."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Bytes of a text in an unlabelled sample at most; longer texts aren't sampled.
+SAMPLE_BYTES = 1 << 17
+
+
+def plain_sample(docs: DataFrame, rows: int, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None) -> DataFrame:
+    """(h, text) of up to ``rows`` documents, by the order of a hash of id and text; rows equal in both count once.
+
+    ``keep``: a condition on ``text``.  Of every so many hashes one is looked at,
+    so that few reach the shuffle; the bound on rows and bytes holds whatever
+    repeats.  The hashes are broadcast: ``rows`` of 8 bytes.
+    """
+    own = docs.select(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("h"), F.col(text_col).cast("string").alias("text"))
+    own = own.where(F.octet_length("text") <= SAMPLE_BYTES)
+    if keep is not None:
+        own = own.where(keep)
+    share = max(1, docs.count() // (16 * max(1, rows)))
+    picked = own.select("h").where(F.pmod("h", F.lit(share)) == 0).distinct().orderBy("h").limit(rows)
+    return own.join(F.broadcast(picked), "h").groupBy("h").agg(F.min("text").alias("text"))
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id as text modulo ``parts``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import tokens as tk
+from .labelled import plain_sample
 from .ship import map_arrow
 
 KINDS = ("email", "ip", "card", "phone")
@@ -299,9 +300,7 @@ def spans_of(texts: list[str | None], model: dict) -> list[tuple[list, list]]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> dict:
     """Weights of the field, learnt from base spans of a bounded sample of documents."""
-    h = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    share = max(1, docs.count() // sample_docs)
-    picked = docs.select(h.alias("h"), F.col(text_col).cast("string").alias("text")).where(F.pmod("h", F.lit(share)) == 0)
+    picked = plain_sample(docs, sample_docs, id_col, text_col, F.col("text").rlike("[0-9@]"))
     schema = T.StructType([T.StructField("w", T.ArrayType(T.DoubleType()))])
 
     def run(batches):
@@ -314,8 +313,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
         flat = np.concatenate([model[k].ravel() for k in ("unary", "chain", "skip")])
         yield pa.RecordBatch.from_pylist([{"w": flat.tolist()}], schema=pa.schema([("w", pa.list_(pa.float64()))]))
 
-    # one task, of about sample_docs texts that hold a digit or an @
-    row = map_arrow(picked.where(F.col("text").rlike("[0-9@]")).repartition(1), run, schema).first()
+    # one task, of at most sample_docs texts that hold a digit or an @
+    row = map_arrow(picked.repartition(1), run, schema).first()
     if row is None:
         return train(*Graph().arrays())
     w = np.array(row.w)
