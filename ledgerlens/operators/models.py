@@ -189,18 +189,6 @@ def r2_of(model, data: DataFrame) -> float:
     return RegressionEvaluator(metricName="r2", labelCol="label").evaluate(pred)
 
 
-def explicit_grid(name: str, make, param_sets: Sequence[dict], train: DataFrame,
-                  valid: DataFrame, features: Sequence[str]) -> Trained:
-    """TN2: fit every parameter set, keep the best validation R² (strict >, first wins)."""
-    best: Trained | None = None
-    for params in param_sets:
-        model = make(params).fit(train)
-        score = r2_of(model, valid)
-        if best is None or score > best.score:
-            best = Trained(name, model, list(features), dict(params), score)
-    return best
-
-
 def early_stopped(name: str, param_sets: Sequence[dict], train: DataFrame, valid: DataFrame,
                   features: Sequence[str], patience: int = PATIENCE, max_bins: int = 32) -> Trained:
     """TN2 + TN3: boost with every parameter set, cut each ensemble at its best prefix, keep the best R².
@@ -277,7 +265,7 @@ def next_draw(done: Sequence[tuple[dict, float]], space: dict, rng: random.Rando
 
 def model_search(train: DataFrame, features: Sequence[str], space: dict = FOREST_SPACE,
                  draws: int = SEARCH_DRAWS, folds: int = CV_FOLDS, fold_col: str = "fold",
-                 seed: int = SEED, without: Sequence[str] = SPLIT_SIZE) -> Trained:
+                 seed: int = SEED, without: Sequence[str] = SPLIT_SIZE, max_bins: int = 32) -> Trained:
     """TN1: sequential draws, each scored by k-fold R² on ``fold_col``; the best is fitted on all rows.
 
     After each fold a draw whose mean is below the median mean of the completed
@@ -292,14 +280,14 @@ def model_search(train: DataFrame, features: Sequence[str], space: dict = FOREST
         params = next_draw([(d["params"], d["score"]) for d in seen], space, rng)
         scores: list[float] = []
         for f in range(folds):
-            model = forest(params, seed=seed, without=without).fit(train.where(F.col(fold_col) != f))
+            model = forest(params, seed=seed, without=without).setMaxBins(max_bins).fit(train.where(F.col(fold_col) != f))
             scores.append(r2_of(model, train.where(F.col(fold_col) == f)))
             so_far = [statistics.fmean(d["folds"][:f + 1]) for d in seen if d["completed"]]
             if f + 1 < folds and len(so_far) >= STARTUP_DRAWS and statistics.fmean(scores) < statistics.median(so_far):
                 break
         seen.append({"draw": i, "params": params, "folds": scores, "score": statistics.fmean(scores), "completed": len(scores) == folds})
     best = max((d for d in seen if d["completed"]), key=lambda d: (d["score"], -d["draw"]))
-    return Trained("random_forest", forest(best["params"], seed=seed, without=without).fit(train), list(features),
+    return Trained("random_forest", forest(best["params"], seed=seed, without=without).setMaxBins(max_bins).fit(train), list(features),
                    best["params"], best["score"], draws=seen)
 
 

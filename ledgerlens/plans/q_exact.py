@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import chartdata as CH
 from ..operators import evaluate as EV
 from ..operators import models as M
 from ..operators import sketches as SK
@@ -22,7 +23,7 @@ from ..operators.encode import TE_MIN_SAMPLES_LEAF, TE_SMOOTHING
 from ..operators.fitted import fit_kmeans, fit_pca
 from ..operators.lookup import join_small
 from ..operators.profile import numeric_columns
-from ..operators.split import holdout_flag
+from ..operators.split import KFOLDS, holdout_flag, kfold
 from ..session import cut_lineage, write_stage
 from ..sources import artifacts as A
 from ..sources.tables import FACT_KEY, FACT_ROLES, FACTS_SQL, facts, read_table
@@ -111,6 +112,54 @@ def md5_exact_boost(spark: SparkSession, sf: str) -> DataFrame:
         "chosen_set", rnd("score").alias("valid_r2"))
 
 
+@query("md3_exact_forest", f"WITH {LI_SQL}\n" + _metric_sql("five_trees", "pq"))
+def md3_exact_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """MD3: five trees without bootstrap are the same exact tree; the least size of a split is named as left out."""
+    rows = _rows(spark, sf)
+    data = M.assemble_xy(rows, ["l_quantity"], "l_extendedprice", keep=["is_test"])
+    params = {**EXACT_TREE, "n_estimators": 5, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": None}
+    model = M.forest(params, without=M.SPLIT_SIZE).setMaxBins(64).fit(data.where("is_test = 0"))
+    scored = model.transform(data).select(F.lit("five_trees").alias("model"), F.when(F.col("is_test") == 1, "test").otherwise("train").alias("split"),
+                                          F.col("label").alias("y"), F.col("prediction").alias("p"))
+    return _rounded(EV.regression_metrics(scored))
+
+
+@query("md6_exact_boost", f"WITH {LI_SQL}\n" + _metric_sql("boost_b", "pq"))
+def md6_exact_boost(spark: SparkSession, sf: str) -> DataFrame:
+    """MD6: the second learner's parameter names; one round is exact, and the refit on as many rounds scores all rows."""
+    data = M.assemble_xy(_rows(spark, sf), ["l_quantity"], "l_extendedprice", keep=["is_test"])
+    train = data.where("is_test = 0")
+    sets = [{"iterations": 1, "learning_rate": 0.03, "depth": M.MAX_DEPTH_LIMIT}]
+    best = M.early_stopped("boost_b", sets, train, train, ["l_quantity"], max_bins=64)
+    scored = M.boosted(best.params, rounds=best.rounds).setMaxBins(64).fit(train).transform(data).select(
+        F.lit("boost_b").alias("model"), F.when(F.col("is_test") == 1, "test").otherwise("train").alias("split"),
+        F.col("label").alias("y"), F.col("prediction").alias("p"))
+    return _rounded(EV.regression_metrics(scored))
+
+
+@query("tn1_exact_search", f"""WITH li AS (SELECT l_quantity, l_extendedprice AS y, {hash_sql(KEY)} % {KFOLDS} AS fold FROM lineitem),
+g AS (SELECT k.fold, l_quantity, avg(y) AS p FROM li, (SELECT range AS fold FROM range(0, {KFOLDS})) k WHERE li.fold <> k.fold GROUP BY ALL),
+r AS (SELECT li.fold, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM li JOIN g USING (fold, l_quantity) GROUP BY li.fold)
+SELECT CAST(3 AS BIGINT) AS draws, CAST(1 AS BIGINT) AS chosen, {srnd('avg(r2)')} AS best_score, {srnd('avg(r2)')} AS chosen_score FROM r""")
+def tn1_exact_search(spark: SparkSession, sf: str) -> DataFrame:
+    """TN1: a search among trees that are all exact: the best stored score is the k-fold R² of the group means, and is the chosen draw's."""
+    rows = read_table(spark, sf, "lineitem").select(*KEY, "l_quantity", "l_extendedprice").withColumn("fold", kfold(KEY))
+    data = cut_lineage(M.assemble_xy(rows, ["l_quantity"], "l_extendedprice", keep=["fold"]))
+    space = {"n_estimators": (1, 3), "max_depth": (29, 30), "bootstrap": (False,)}
+    table = M.draw_table(spark, M.model_search(data, ["l_quantity"], space, draws=3, max_bins=64))
+    return table.agg(F.count(F.lit(1)).alias("draws"), F.count_if("chosen").alias("chosen"), rnd(F.max("score")).alias("best_score"),
+                     rnd(F.max(F.when(F.col("chosen"), F.col("score")))).alias("chosen_score"))
+
+
+@query("ch1_exact_importance", "SELECT 'l_quantity' AS feature, 1.0 AS importance FROM lineitem GROUP BY ALL HAVING stddev_pop(l_quantity) > 0")
+def ch1_exact_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """CH1, IMP1, TK1, TK2: of a column and a constant the column has all the gain, and is the first of one."""
+    rows = _rows(spark, sf).withColumn("one", F.lit(1.0))
+    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(M.assemble_xy(rows, ["one", "l_quantity"], "l_extendedprice"))
+    table = EV.importance_table(spark, ["one", "l_quantity"], list(tree.featureImportances.toArray()))
+    return CH.top_importances(table, 1).select("feature", rnd("importance").alias("importance"))
+
+
 def _model_folder(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     rows = _rows(spark, sf)
     folder = A.artifact_dir(spark, f"scan-{os.path.basename(sf.rstrip('/'))}")
@@ -177,6 +226,37 @@ def ft4_three_values(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*KEY, F.col("label").cast("bigint").alias("label"), *[rnd(f"d_{j}").alias(f"d_{j}") for j in range(3)])
 
 
+def _permuted_sql(salt: int) -> str:
+    number = lambda seed: f"row_number() OVER (PARTITION BY b ORDER BY {hash_sql(KEY, seed)}, {', '.join(KEY)})"
+    return f"""SELECT {salt} AS rep, a.y, a.l_quantity AS q, a.l_linenumber AS l, c.l_quantity AS pq, c.l_linenumber AS pl FROM
+  (SELECT *, {number(104729 + salt)} AS i FROM (SELECT *, {hash_sql(KEY, 7919 + salt)} % 16 AS b FROM te) u) a JOIN
+  (SELECT *, {number(1299709 + salt)} AS i FROM (SELECT *, {hash_sql(KEY, 7919 + salt)} % 16 AS b FROM te) u) c ON a.b = c.b AND a.i = c.i"""
+
+
+_PERM_R2 = "1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))"
+
+
+@query("ev4_exact", f"""WITH li AS (SELECT *, l_extendedprice AS y, {hash_sql(KEY)} % 100 < 20 AS is_test FROM lineitem),
+g AS (SELECT l_quantity AS q, l_linenumber AS l, avg(y) AS p FROM li WHERE NOT is_test GROUP BY ALL),
+te AS (SELECT * FROM li WHERE is_test),
+base AS (SELECT {_PERM_R2} AS r2 FROM te JOIN g ON g.q = te.l_quantity AND g.l = te.l_linenumber),
+c AS ({" UNION ALL ".join(_permuted_sql(s) for s in range(EV.PERM_REPEATS))}),
+r AS (SELECT 'l_quantity' AS feature, rep, {_PERM_R2} AS r2 FROM c JOIN g ON g.q = c.pq AND g.l = c.l GROUP BY rep
+  UNION ALL SELECT 'l_linenumber', rep, {_PERM_R2} FROM c JOIN g ON g.q = c.q AND g.l = c.pl GROUP BY rep)
+SELECT feature, {srnd('avg(base.r2 - r.r2)')} AS importance, {srnd('stddev_pop(base.r2 - r.r2)')} AS std FROM r, base GROUP BY feature
+UNION ALL SELECT 'one', 0.0, 0.0""")
+def ev4_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """EV4, IMP1: permutation importances of a tree that predicts the train mean of each pair of two features' values."""
+    rows = _rows(spark, sf).withColumn("one", F.lit(1.0))
+    names = ["l_quantity", "l_linenumber", "one"]
+    # the key holds the line number, too: the vector takes it as a number of its own
+    vec = F.array(*[F.col(c).cast("double") for c in names])
+    data = rows.select(*KEY, "is_test", F.col("l_extendedprice").alias("label"), array_to_vector(vec).alias("features"))
+    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(data.where("is_test = 0"))
+    out = EV.permutation_importance(tree, data.where("is_test = 1"), names, KEY, buckets=16)
+    return out.select("feature", rnd("importance").alias("importance"), rnd("std").alias("std"))
+
+
 # ---------------------------------------------------------------- AG15
 
 @query("ag15_auto_hist", f"""WITH e AS (SELECT CAST(value AS DOUBLE) AS v FROM events WHERE value IS NOT NULL),
