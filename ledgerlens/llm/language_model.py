@@ -15,8 +15,8 @@ own share, add-one smoothed over the vocabulary.
 Words and pairs are counted exactly over all rows, by 63 bits of a hash (the
 64th tells words from pairs): inside each task, then by Spark's aggregation on
 the hash, into a table in the checkpoint folder.  The most frequent of them, at
-most ``HEAD``, are collected and broadcast; each document's other words and
-pairs are joined to the table.  With N words in the corpus a key outside the
+most ``HEAD``, are collected and broadcast; the documents are dealt into slices
+of ``SLICE_BYTES``, whose other words and pairs are joined to the table.  With N words in the corpus a key outside the
 head occurs at most about 2.1 N / ``HEAD`` times, so no key is hot in the join.
 Pairs that occur once aren't written: a pair of the corpus that the table lacks
 has occurred once, in the document being scored.  A bitmap of fixed size
@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import tokens as tk
@@ -53,6 +53,8 @@ SIEVE_BITS = 27
 STEPS = 16
 #: Bits of the smaller of two packed counts (of the target's, which the corpus' includes).
 PACKED = 31
+#: Bytes of text of a slice (a longer document is a slice of its own).
+SLICE_BYTES = 1 << 18
 #: Occurrences that a task counts at once.
 HELD = 1 << 21
 #: Up to so many ids of target documents are broadcast; beyond, documents and labels are joined by shuffle.
@@ -154,17 +156,17 @@ def _sifted(sieve: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (sieve[bit >> U(6)] >> (bit & U(63)) & U(1)).astype(bool)
 
 
-def losses(model: dict, column, found: tuple, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+def losses(model: dict, column, keys: np.ndarray, packed: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Number of words, and each model's mean loss in bits (rows: target, background), of each text.
 
-    found: for each text, the keys of those of its words and pairs that aren't in the head, and their packed counts.
+    keys, packed: those of the texts' words and pairs that the table holds beyond the head, and their packed counts.
     own: whether each text is a target document, if the texts are of the corpus.
     """
     word, pair, doc, at = hashed(column)
     n = np.diff(at)
-    keys, packed = (pc.list_flatten(x).to_numpy(zero_copy_only=False) for x in found)
-    tail, first = np.unique(keys, return_index=True)
-    counts = [[model["head"][1], packed[first] >> PACKED], [model["head"][2], packed[first] & ((1 << PACKED) - 1)]]
+    order = np.argsort(keys)
+    tail, packed = keys[order], packed[order]
+    counts = [[model["head"][1], packed >> PACKED], [model["head"][2], packed & ((1 << PACKED) - 1)]]
 
     def looked_up(keys):
         places = [_at(model["head"][0], keys), _at(tail, keys)]
@@ -187,53 +189,69 @@ def losses(model: dict, column, found: tuple, own: np.ndarray | None) -> tuple[n
     return n, np.stack(out)
 
 
+def _slices(rows: DataFrame) -> DataFrame:
+    """One row for each slice of up to ``SLICE_BYTES`` of text (or one document): its number, ids, texts and t."""
+    schema = T.StructType([T.StructField("slice", T.LongType()), T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType)),
+                           T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("marks", T.ArrayType(T.BooleanType()))])
+
+    def run(batches):
+        number = TaskContext.get().partitionId() << 33
+        for part in tk.slices(batches, limit=SLICE_BYTES):
+            whole = pa.array([0, part.num_rows], pa.int32())
+            lists = [pa.ListArray.from_arrays(whole, part.column(part.schema.get_field_index(c))) for c in ("doc_id", "text", "t")]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *lists], names=schema.names)
+            number += 1
+
+    return map_arrow(rows, run, schema)
+
+
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", last: bool = False) -> DataFrame:
     """doc_id, n_words, target_loss, background_loss, score of every document.
 
-    The documents are written with a number for each row, and the counts that
-    they need with those numbers; each table's shuffles end with it.  ``last``:
-    the model is of no more use, so its counts are deleted before the texts are
-    shuffled to their counts.
+    The documents are written in numbered slices; a slice asks once for each
+    of its keys, and the answers are written, too.  Each table's shuffles end
+    with it.  ``last``: the model is of no more use, so its counts are deleted
+    before the texts are shuffled to their counts.
     """
     spark, scratch = docs.sparkSession, model["scratch"]
-    # written, so that each row keeps its number
-    rows = scratch.write(_marked(docs, model["ids"], id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "rows")
+    # written, so that each slice keeps its number
+    slices = scratch.write(_slices(_marked(docs, model["ids"], id_col, text_col)), "slices")
     corpus = model["ids"] is not None
     ship(spark)
     sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k in ("sieve", "head", "total", "kinds")})
-    wanted = T.StructType([T.StructField("row", T.LongType()), T.StructField("key", T.LongType())])
+    wanted = T.StructType([T.StructField("slice", T.LongType()), T.StructField("key", T.LongType())])
 
     def seek(batches):
         head = sent.value["head"][0]
-        for part in tk.slices(batches):
-            word, pair, doc, _ = hashed(part.column(1))
-            keys, doc = np.concatenate([word, pair[pair != 0]]), np.concatenate([doc, doc[pair != 0]])
-            rest = _sifted(sent.value["sieve"], keys)
-            keys, doc = keys[rest], doc[rest]
-            rest = _at(head, keys) < 0
-            doc, keys, _ = tk.counted(doc[rest], keys[rest])
-            number = part.column(0).to_numpy()[doc]
-            for i in range(0, len(keys), 1 << 18):
-                j = slice(i, i + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(number[j]), pa.array(keys[j])], names=wanted.names)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                word, pair, _, _ = hashed(batch.column(1).slice(i, 1).flatten())
+                keys = np.unique(np.concatenate([word, pair[pair != 0]]))
+                keys = keys[_sifted(sent.value["sieve"], keys)]
+                keys = keys[_at(head, keys) < 0]
+                number = np.full(len(keys), batch.column(0)[i].as_py())
+                for k in range(0, len(keys), 1 << 18):
+                    j = slice(k, k + (1 << 18))
+                    yield pa.RecordBatch.from_arrays([pa.array(number[j], pa.int64()), pa.array(keys[j], pa.int64())], names=wanted.names)
 
     # keys beyond the head occur at most about 2.1 N / HEAD times, so that both counts fit one number
     packed = model["tail"].select("key", (F.shiftleft("b", PACKED) + F.col("t")).alias("n"))
-    answers = scratch.write(map_arrow(rows.select("row", "text"), seek, wanted).join(packed, "key").select("row", "key", "n"), "answers")
+    answers = scratch.write(map_arrow(slices.select("slice", "texts"), seek, wanted).join(packed, "key").select("slice", "key", "n"), "answers")
     if last:
         scratch.drop(model["counts"])
-    # both lists of a row are in one order: they take the same rows one by one
-    found = answers.groupBy("row").agg(F.collect_list("key").alias("keys"), F.collect_list("n").alias("counts"))
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()),
+    # both lists of a slice are in one order: they take the same rows one by one
+    found = answers.groupBy("slice").agg(F.collect_list("key").alias("keys"), F.collect_list("n").alias("counts"))
+    schema = T.StructType([T.StructField("doc_id", slices.schema["ids"].dataType.elementType), T.StructField("n_words", T.LongType()),
                            *(T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score"))])
 
     def run(batches):
-        for part in tk.slices(batches):
-            n, (t, b) = losses(sent.value, part.column(1), (part.column(2), part.column(3)),
-                               part.column(4).to_numpy(zero_copy_only=False) if corpus else None)
-            none = n == 0
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n.astype(np.int64)), pa.array(t, mask=none), pa.array(b, mask=none), pa.array(t - b, mask=none)],
-                names=schema.names)
-
-    return map_arrow(rows.join(found, "row", "left").select("doc_id", "text", "keys", "counts", "t"), run, schema)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, texts, marks, keys, counts = (batch.column(c).slice(i, 1).flatten() for c in range(5))
+                n, (t, b) = losses(sent.value, texts, keys.to_numpy(), counts.to_numpy(), marks.to_numpy(zero_copy_only=False) if corpus else None)
+                none = n == 0
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(n.astype(np.int64)), pa.array(t, mask=none), pa.array(b, mask=none), pa.array(t - b, mask=none)],
+                    names=schema.names)
+
+    return map_arrow(slices.join(found, "slice", "left").select("ids", "texts", "marks", "keys", "counts"), run, schema)
