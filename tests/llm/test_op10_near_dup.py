@@ -132,6 +132,7 @@ def test_hot_group_without_its_source_is_linear(spark, monkeypatch):
     scratch = near_dup.Scratch(spark, "t")
     sk = scratch.write(near_dup.sketch(df), "sketch")
     links = near_dup.links(sk, df, scratch, few=0, holders=4)
+    assert asked
     for pairs in asked:
         assert pairs.groupBy("node").count().where("count > 1").isEmpty()
     comp = near_dup.components(links, scratch)
