@@ -112,7 +112,8 @@ def _counts(rows: DataFrame) -> DataFrame:
         if size:
             yield from counted(held)
 
-    return map_arrow(rows.select("text", "t"), run, schema).groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+    # a task's keys hardly repeat: they are summed after the shuffle, not before it as well
+    return map_arrow(rows.select("text", "t"), run, schema).repartition("key").groupBy("key").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
 
 
 def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", others: bool = False) -> dict:
@@ -138,7 +139,8 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: st
     marks = tail.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
     sieve = np.zeros(1 << SIEVE_BITS - 6, np.int64)
     sieve[marks.column("at").to_numpy()] = marks.column("bits").to_numpy()
-    return {"tail": tail, "sieve": sieve.view(U), "head": [x[order] for x in head], "total": (b or 0, t or 0), "kinds": kinds,
+    head = [np.ascontiguousarray(x[order]) for x in head]
+    return {"tail": tail, "sieve": sieve.view(U), "head": head, "places": tk.Places(head[0]), "total": (b or 0, t or 0), "kinds": kinds,
             "ids": None if others else ids, "counts": counts, "scratch": scratch}
 
 
@@ -169,13 +171,18 @@ def losses(model: dict, column, keys: np.ndarray, packed: np.ndarray, own: np.nd
     counts = [[model["head"][1], packed >> PACKED], [model["head"][2], packed & ((1 << PACKED) - 1)]]
 
     def looked_up(keys):
-        places = [_at(model["head"][0], keys), _at(tail, keys)]
         out = np.zeros((2, len(keys)))
         if own is not None:  # what the table lacks has occurred once, here
             out[0], out[1] = 1, own[doc]
+        place = model["places"].find(keys)
+        hit = place >= 0
+        rest = np.flatnonzero(~hit)
+        late = _at(tail, keys[rest])
+        late, rest = late[late >= 0], rest[late >= 0]
+        place = place[hit]
         for k in (0, 1):
-            for place, values in zip(places, counts[k]):
-                out[k, place >= 0] = values[place[place >= 0]]
+            out[k, hit] = counts[k][0][place]
+            out[k, rest] = counts[k][1][late]
         return out
 
     single, pairs = looked_up(word), looked_up(pair)
@@ -218,17 +225,17 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     slices = scratch.write(_slices(_marked(docs, model["ids"], id_col, text_col)), "slices")
     corpus = model["ids"] is not None
     ship(spark)
-    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k in ("sieve", "head", "total", "kinds")})
+    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k in ("sieve", "head", "places", "total", "kinds")})
     wanted = T.StructType([T.StructField("slice", T.LongType()), T.StructField("key", T.LongType())])
 
     def seek(batches):
-        head = sent.value["head"][0]
+        places = sent.value["places"]
         for batch in batches:
             for i in range(batch.num_rows):
                 word, pair, _, _ = hashed(batch.column(1).slice(i, 1).flatten())
-                keys = np.unique(np.concatenate([word, pair[pair != 0]]))
+                keys = np.concatenate([word, pair[pair != 0]])
                 keys = keys[_sifted(sent.value["sieve"], keys)]
-                keys = keys[_at(head, keys) < 0]
+                keys = np.unique(keys[places.find(keys) < 0])
                 number = np.full(len(keys), batch.column(0)[i].as_py())
                 for k in range(0, len(keys), 1 << 18):
                     j = slice(k, k + (1 << 18))

@@ -174,3 +174,35 @@ def counted(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new = np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])])
     at = np.flatnonzero(new)
     return d[at], v[at], np.diff(np.append(at, len(d)))
+
+
+class Places:
+    """Where distinct 64-bit keys stand in their array, by a hash table at most a quarter full."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.table = np.full(1 << self.bits, -1, np.int32 if len(keys) < 1 << 31 else np.int64)
+        todo = np.arange(len(keys))
+        slot = self._slot(keys)
+        while len(todo):
+            free = self.table[slot] < 0
+            self.table[slot[free]] = todo[free]  # of several keys for one slot the last stays
+            left = self.table[slot] != todo
+            todo, slot = todo[left], (slot[left] + 1) & (len(self.table) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(U) * U(0x9E3779B97F4A7C15) >> U(64 - self.bits)).view(np.int64)
+
+    def find(self, sought: np.ndarray) -> np.ndarray:
+        """Place of each sought key; -1: not there."""
+        slot = self._slot(sought)
+        at = self.table[slot].astype(np.int64)
+        if not len(self.keys):
+            return at
+        off = np.flatnonzero((at >= 0) & (self.keys[at] != sought))
+        while len(off):
+            slot[off] = (slot[off] + 1) & (len(self.table) - 1)
+            at[off] = self.table[slot[off]]
+            off = off[(at[off] >= 0) & (self.keys[at[off]] != sought[off])]
+        return at
