@@ -181,7 +181,7 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEAN
 
 def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
                     restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300,
-                    tol: float = 1e-4, parallelism: int = 4) -> list[KMeansFeatures]:
+                    tol: float = 1e-4, parallelism: int = 8) -> list[KMeansFeatures]:
     """FT4: Spark ML's KMeans (``k-means||`` seeding) for every k and restart; the best restart of each k.
 
     Inputs are standardised (population std) and rows with a missing input
