@@ -61,7 +61,8 @@ PATIENCE = 50
 
 # draws before the densities take over, share of draws that count as good, candidates a draw is chosen from
 STARTUP_DRAWS, GOOD_SHARE, CANDIDATES = 5, 0.25, 24
-# memory for the histograms of one pass over the rows (each task has as much; 1 GB ended the JVM with 8 tasks); node ids are kept with the rows, not recomputed from the root
+# memory for the histograms of one pass over the rows (each task has as much);
+# node ids are kept with the rows, not recomputed from the root
 TREE_MEMORY = {"maxMemoryInMB": 256, "cacheNodeIds": True, "checkpointInterval": 10}
 
 _UNSUPPORTED = {"reg_alpha", "reg_lambda", "bagging_temperature", "random_strength",

@@ -82,7 +82,7 @@ def test_search_returns_its_best_draw(spark, noisy):
     assert (table.folds_done[~table.completed] < 3).all() and (done.folds_done == 3).all()
 
 
-def test_left_out_parameters_must_be_named():
+def test_left_out_parameters_must_be_named(spark):
     with pytest.raises(ValueError):
         M.forest(M.EXTRA_TREES)
     assert M.forest(M.EXTRA_TREES, without=M.SPLIT_SIZE).getFeatureSubsetStrategy() == "sqrt"
