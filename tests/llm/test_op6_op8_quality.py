@@ -119,3 +119,38 @@ def test_edge_cases(spark):
     assert qr.judged(df, qr.fit(df, labels.limit(0))).where("kept = base_failed").count() == 0
     empty = df.limit(0)
     assert qr.judged(empty, qr.fit(empty, labels)).count() == 0
+
+
+def test_forest_and_threshold_take_every_row(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, len(qr.NUMBERS)))
+    rows = spark.createDataFrame([(i, i, *[0] * len(qr.COUNTS), False, *map(float, v)) for i, v in enumerate(x)],
+                                 ", ".join(["doc_id long", "h long", *(f"{c} long" for c in qr.COUNTS), "base_failed boolean", *(f"{n} double" for n in qr.NUMBERS)]))
+    labels = [(i, int(rng.random() < 0.7)) for i in range(650)] + [(3, 1), (None, 1), (7, None)]
+    model = qr.fit_measured(rows.repartition(3), spark.createDataFrame(labels, "doc_id long, quality int"))
+    forest = model["forest"]
+    assert forest["usual"][0] == qr.usual(700)
+    for root in forest["roots"][:10]:  # a leaf's length counts all rows that end there
+        at = qr.ends(forest, root, x)
+        depth = {int(root): 0}
+        for node in range(len(forest["feature"])):
+            if node in depth and forest["feature"][node] >= 0:
+                depth[int(forest["left"][node])] = depth[int(forest["right"][node])] = depth[node] + 1
+        for node, n in zip(*np.unique(at, return_counts=True)):
+            assert np.isclose(forest["length"][node], depth[node] + qr.usual(n))
+    again = qr.fit_measured(rows.repartition(5), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert again["bound"] == model["bound"] and all((again["forest"][k] == v).all() for k, v in forest.items())
+    assert all((qr.grow(x, np.random.default_rng(1))[k] == v).all() for k, v in forest.items())
+
+
+def test_threshold_is_the_cheapest_score(spark):
+    from ledgerlens.llm.scratch import Scratch
+    rng = np.random.default_rng(6)
+    for cost in (0.3, 1.0, 20.0):
+        good, bad = rng.integers(0, 60, 400) / 100, rng.integers(30, 90, 150) / 100
+        at = np.unique(np.concatenate([good, bad, [1.0]]))
+        costs = [cost * np.mean(good > t) + np.mean(bad <= t) for t in at]
+        marked = spark.createDataFrame([(float(v), 1) for v in good] + [(float(v), 0) for v in bad], "score double, y int")
+        got = qr.threshold(marked.repartition(4), Scratch(spark, "test"), cost)
+        assert np.isclose(costs[list(at).index(got)], min(costs))
+    assert qr.threshold(marked.where("y = 1"), Scratch(spark, "test")) == 1.0
