@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import number
+from ..session import cut_lineage
 from .bins import fit_quantile_binner
 
 GRAM_BUCKETS = 512         # first level of the sum of the tasks' Gram blocks
@@ -120,16 +122,32 @@ def binned_mutual_information(df: DataFrame, cols: Sequence[str], target: str,
                               bins: int = MI_BINS, method: str = "exact") -> DataFrame:
     """FS1: MI (nats) between the quantile bin of each feature and of the target.
 
-    Edges of all columns come from one ranked pass; the joint counts of every
-    feature are one grouped pass over the in-row unpivot ``(feature, bx, by)``.
+    Edges of all columns come from one ranked pass.  The joint counts of every feature
+    come from one more: each task bins its rows by the edges and emits its counts.
     """
     cols = [c for c in cols if c != target]
     binner = fit_quantile_binner(df, [*cols, target], q=bins, method=method)
-    binned = df.select(binner.bin_col(target).alias("_by"),
-                       *[binner.bin_col(c).alias(c) for c in cols])
-    long = (binned.unpivot(["_by"], cols, "feature", "_bx")
-                  .where(F.col("_bx").isNotNull() & F.col("_by").isNotNull()))
-    joint = long.groupBy("feature", "_bx", "_by").agg(F.count(F.lit(1)).alias("_nxy"))
+    edges = [np.array(binner.edges[c], float) for c in (target, *cols)]
+    side = max(len(e) for e in edges) + 1
+
+    def run(batches):
+        total = np.zeros((len(cols), side * side), np.int64)
+        for batch in batches:
+            binned = []
+            for i, e in enumerate(edges):
+                v = batch.column(i).to_numpy(zero_copy_only=False).astype(float)   # a null is NaN, and in no bin
+                inside = (v >= e[0]) & (v <= e[-1]) if len(e) > 1 else np.zeros(len(v), bool)
+                binned.append((inside, np.maximum(np.searchsorted(e, v) - 1, 0)))
+            for f, (inside, bx) in enumerate(binned[1:]):
+                both = inside & binned[0][0]
+                total[f] += np.bincount(bx[both] * side + binned[0][1][both], minlength=side * side)
+        f, cell = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([cols[i] for i in f], pa.string()), pa.array(cell // side, pa.int32()),
+                                          pa.array(cell % side, pa.int32()), pa.array(total[f, cell])], names=["feature", "_bx", "_by", "_nxy"])
+
+    values = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate((target, *cols))])
+    joint = values.mapInArrow(run, "feature string, _bx int, _by int, _nxy bigint").groupBy("feature", "_bx", "_by").agg(F.sum("_nxy").alias("_nxy"))
+    joint = cut_lineage(joint)   # at most features x bins x bins rows, read four times
     fx = joint.groupBy("feature", "_bx").agg(F.sum("_nxy").alias("_nx"))
     fy = joint.groupBy("feature", "_by").agg(F.sum("_nxy").alias("_ny"))
     ft = joint.groupBy("feature").agg(F.sum("_nxy").alias("_nt"))
