@@ -31,6 +31,7 @@ RFF_COMPONENTS = 5
 KMEANS_KS = (3, 5, 8)
 KMEANS_RESTARTS = 10
 PCA_MAX_COMPONENTS = 10
+CACHED_BYTES = 8 << 30   # of all fits that run at a time
 SEED = 42
 
 
@@ -179,6 +180,11 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, restarts: int = KMEAN
     return fit_kmeans_many(df, cols, [k], restarts, seed, max_iter, tol)[0]
 
 
+def fits_at_once(rows: int, dims: int, parallelism: int, cached_bytes: int = CACHED_BYTES) -> int:
+    """Fits that may run together: each caches the vectors itself, some 100 bytes and 8 a number for each row."""
+    return max(1, min(parallelism, cached_bytes // max(1, rows * (100 + 8 * dims))))
+
+
 def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
                     restarts: int = KMEANS_RESTARTS, seed: int = SEED, max_iter: int = 300,
                     tol: float = 1e-4, parallelism: int = 8) -> list[KMeansFeatures]:
@@ -186,7 +192,8 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
 
     Inputs are standardised (population std) and rows with a missing input
     left out; the vectors are written once to the checkpoint folder and read
-    by all fits, of which ``parallelism`` run at a time.  The best restart has
+    by all fits, of which ``parallelism`` run at a time, or as many as
+    keep their copies within ``CACHED_BYTES``.  The best restart has
     the lowest cost (ties: lowest seed); centres are put in lexicographic order,
     so that labels don't depend on the seed's numbering.
     """
@@ -200,7 +207,7 @@ def fit_kmeans_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int],
         model = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vec)
         return k, model.summary.trainingCost, r, np.array(model.clusterCenters())
 
-    with ThreadPool(parallelism) as pool:
+    with ThreadPool(fits_at_once(vec.count(), len(cols), parallelism)) as pool:
         done = pool.map(inheritable_thread_target(df.sparkSession)(fit), [(k, r) for k in ks for r in range(restarts)])
     out = []
     for k in ks:
