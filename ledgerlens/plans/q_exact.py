@@ -24,7 +24,7 @@ from ..operators.fitted import fit_kmeans, fit_pca
 from ..operators.lookup import join_small
 from ..operators.profile import numeric_columns
 from ..operators.split import KFOLDS, holdout_flag, kfold
-from ..session import cut_lineage, write_stage
+from ..session import cut_lineage, spread, write_stage
 from ..sources import artifacts as A
 from ..sources.tables import FACT_KEY, FACT_ROLES, FACTS_SQL, facts, read_table
 from .features import fit
@@ -46,7 +46,7 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tree(rows: DataFrame, feature: str):
-    data = M.assemble_xy(rows.where("is_test = 0"), [feature], "l_extendedprice")
+    data = M.assemble_xy(spread(rows.where("is_test = 0"), KEY), [feature], "l_extendedprice")
     return M.forest(EXACT_TREE).setMaxBins(64).fit(data)
 
 
@@ -144,7 +144,7 @@ SELECT CAST(3 AS BIGINT) AS draws, CAST(1 AS BIGINT) AS chosen, {srnd('avg(r2)')
 def tn1_exact_search(spark: SparkSession, sf: str) -> DataFrame:
     """TN1: a search among trees that are all exact: the best stored score is the k-fold R² of the group means, and is the chosen draw's."""
     rows = read_table(spark, sf, "lineitem").select(*KEY, "l_quantity", "l_extendedprice").withColumn("fold", kfold(KEY))
-    data = cut_lineage(M.assemble_xy(rows, ["l_quantity"], "l_extendedprice", keep=["fold"]))
+    data = cut_lineage(M.assemble_xy(spread(rows, KEY), ["l_quantity"], "l_extendedprice", keep=["fold"]))
     space = {"n_estimators": (1, 3), "max_depth": (29, 30), "bootstrap": (False,)}
     table = M.draw_table(spark, M.model_search(data, ["l_quantity"], space, draws=3, max_bins=64))
     return table.agg(F.count(F.lit(1)).alias("draws"), F.count_if("chosen").alias("chosen"), rnd(F.max("score")).alias("best_score"),
@@ -155,7 +155,7 @@ def tn1_exact_search(spark: SparkSession, sf: str) -> DataFrame:
 def ch1_exact_importance(spark: SparkSession, sf: str) -> DataFrame:
     """CH1, IMP1, TK1, TK2: of a column and a constant the column has all the gain, and is the first of one."""
     rows = _rows(spark, sf).withColumn("one", F.lit(1.0))
-    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(M.assemble_xy(rows, ["one", "l_quantity"], "l_extendedprice"))
+    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(M.assemble_xy(spread(rows, KEY), ["one", "l_quantity"], "l_extendedprice"))
     table = EV.importance_table(spark, ["one", "l_quantity"], list(tree.featureImportances.toArray()))
     return CH.top_importances(table, 1).select("feature", rnd("importance").alias("importance"))
 
@@ -252,7 +252,7 @@ def ev4_exact(spark: SparkSession, sf: str) -> DataFrame:
     # the key holds the line number, too: the vector takes it as a number of its own
     vec = F.array(*[F.col(c).cast("double") for c in names])
     data = rows.select(*KEY, "is_test", F.col("l_extendedprice").alias("label"), array_to_vector(vec).alias("features"))
-    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(data.where("is_test = 0"))
+    tree = M.forest(EXACT_TREE).setMaxBins(64).fit(spread(data.where("is_test = 0"), KEY))
     out = EV.permutation_importance(tree, data.where("is_test = 1"), names, KEY, buckets=16)
     return out.select("feature", rnd("importance").alias("importance"), rnd("std").alias("std"))
 
