@@ -80,3 +80,16 @@ def test_kmeans_of_few_distinct_rows(spark):
     df = spark.range(300_000).selectExpr("cast(id % 3 as double) as x", "cast(id % 3 * id % 3 as double) as y", "cast(null as string) as t")
     (km,) = fit_kmeans_many(df, ["x", "y"], [3], restarts=2)
     assert km.cost < 1e-9 and len({tuple(c) for c in km.centers.round(6)}) == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_features_are_one_arrow_pass_that_can_be_pruned(spark):
+    df = spark.range(5).selectExpr("id", "cast(id as double) as a", "cast(id * id as double) as b")
+    kms = [KMeansFeatures(["a", "b"], [0.0, 0.0], [1.0, 2.0], np.arange(2.0 * k).reshape(k, 2), 0.0) for k in (3, 5)]
+    pca = PCAFeatures(["a", "b"], [0.0, 0.0], [1.0, 2.0], np.eye(2), np.ones(2))
+    for out in (transform_kmeans(df, [(km, f"lab{km.k}", f"d{km.k}_") for km in kms]), pca.transform(df)):
+        assert _plan(out).count("ArrowEvalPython") == 1 and "lambda" not in _plan(out)
+        assert "ArrowEvalPython" not in _plan(out.select("id"))
