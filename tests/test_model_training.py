@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import threading
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,52 @@ def test_boosting_keeps_the_best_prefix(noisy):
     assert got == pytest.approx(list((trees[:best.rounds] * np.array(full.treeWeights)[:best.rounds, None]).sum(0)))
 
 
+@pytest.mark.parametrize("rounds, patience, want", [(1, 50, [1]), (199, 50, [199]), (200, 50, [100, 200]), (1000, 50, [100, 300, 1000]), (5, 0, [1, 5])])
+def test_stages_end_with_all_rounds(rounds, patience, want):
+    assert M.stages(rounds, patience) == want
+
+
+def test_boosting_ends_when_the_best_prefix_is_known(noisy, monkeypatch):
+    train, valid = noisy.where("fold <> 0"), noisy.where("fold = 0")
+    params = {"n_estimators": 40, "max_depth": 5, "learning_rate": 0.5, "subsample": 0.7}
+    full = M.boosted(params).fit(train)
+    rounds = M.best_prefix(full.evaluateEachIteration(valid, "squared"), 3)
+    asked, fit = [], M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, *a: asked.append(self.getMaxIter()) or fit(self, *a))
+    best = M.early_stopped("x", [params], train, valid, ["a", "b"], patience=3)
+    assert rounds + 3 < 40 and asked == [n for n in M.stages(40, 3) if n < rounds + 3] + [next(n for n in M.stages(40, 3) if n >= rounds + 3)]
+    assert max(asked) < 40 and best.rounds == rounds and best.score == M.r2_of(M.truncated(full, rounds), valid)
+    assert [t.toDebugString.split("\n", 1)[1] for t in best.model.trees] == [t.toDebugString.split("\n", 1)[1] for t in full.trees[:rounds]]
+
+
+class Meeting:
+    """A learner that is fitted only while another one is."""
+
+    def __init__(self, name, barrier):
+        self.name, self.barrier = name, barrier
+
+    def hasParam(self, name):  # noqa: N802 (Spark ML's name)
+        return False
+
+    def fit(self, rows):
+        self.barrier.wait(20)
+        return self.name, rows.count()
+
+
+def test_learners_are_fitted_at_the_same_time(noisy):
+    barrier = threading.Barrier(3)
+    assert M.fit_all([Meeting(n, barrier) for n in "abc"], noisy) == [(n, 500) for n in "abc"]
+    assert M.fit_all([], noisy) == []
+
+
+def test_copies_of_rows_bound_the_learners_at_a_time(noisy, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "fits_at_once", lambda *a: seen.append(a) or 1)
+    learners = [M.forest({"n_estimators": 7, "max_depth": 1}), M.boosted({"iterations": 1, "depth": 1})]
+    forest, boost = M.fit_all(learners, noisy)
+    assert seen == [(500, 2 + 7, 2)] and forest.getNumTrees == 7 and boost.getNumTrees == 1
+
+
 def test_truncated_models_are_saved_like_others(noisy, tmpdir_path):
     from pyspark.ml.regression import GBTRegressionModel
 
